@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import resharding
+from tidemark.llm import bpe, resharding
 from tidemark.llm.common import table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -20,6 +20,12 @@ def op10_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op10_flow_resharding,)
+    f.__name__: f for f in (op7_trie_bpe, op10_flow_resharding)
 }
