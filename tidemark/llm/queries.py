@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, resharding
+from tidemark.llm import bpe, resharding, secrets
 from tidemark.llm.common import table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -20,6 +20,10 @@ def op10_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -27,5 +31,5 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_trie_bpe, op10_flow_resharding)
+    f.__name__: f for f in (op4_markov_secrets, op7_trie_bpe, op10_flow_resharding)
 }
