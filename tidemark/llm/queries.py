@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, resharding, secrets
+from tidemark.llm import bpe, hnsw, resharding, secrets
 from tidemark.llm.common import table
 
 ORACLE_SQL: dict[str, str] = {}
 
 
+def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hnsw.nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op10_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = resharding.reshard(table(spark, sf_dir, "documents"), n_new=8, n_old=6)
     return placed.select(
@@ -31,5 +36,5 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_markov_secrets, op7_trie_bpe, op10_flow_resharding)
+    f.__name__: f for f in (op4_markov_secrets, op7_trie_bpe, op9_hnsw, op10_flow_resharding)
 }
