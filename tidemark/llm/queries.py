@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, hnsw, resharding, secrets
-from tidemark.llm.common import table
+from tidemark.llm import bpe, hnsw, resharding, secrets, toxicity
+from tidemark.llm.common import crc_mod, table
 
 ORACLE_SQL: dict[str, str] = {}
 
 
+def op8_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_mod("id", 3) != 1)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"),
+    )
+
+
 def op9_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return hnsw.nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
@@ -36,5 +48,5 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_markov_secrets, op7_trie_bpe, op9_hnsw, op10_flow_resharding)
+    f.__name__: f for f in (op4_markov_secrets, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
 }
