@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, hnsw, resharding, secrets, toxicity
+from tidemark.llm import bpe, decontamination, hnsw, resharding, secrets, toxicity
 from tidemark.llm.common import crc_mod, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -37,6 +37,10 @@ def op10_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -48,5 +52,5 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_markov_secrets, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
+    f.__name__: f for f in (op2_spaced_seeds, op4_markov_secrets, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
 }
