@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontamination, hnsw, resharding, secrets, toxicity
+from tidemark.llm import bpe, decontamination, hnsw, katz, resharding, secrets, toxicity
 from tidemark.llm.common import crc_mod, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -37,6 +37,15 @@ def op10_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 7) == 2, F.lit(False))
+    model = katz.train(docs.where(~held_out))
+    return katz.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.numbers["n"]).cast("long").alias("train_tokens"), "base_score", "score"
+    )
+
+
 def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,5 +61,5 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_spaced_seeds, op4_markov_secrets, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
+    f.__name__: f for f in (op1_katz_backoff, op2_spaced_seeds, op4_markov_secrets, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
 }
