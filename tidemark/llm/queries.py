@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontamination, hnsw, katz, resharding, secrets, toxicity
+from tidemark.llm import bpe, decontamination, hnsw, katz, recompression, resharding, secrets, toxicity
 from tidemark.llm.common import crc_mod, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -54,6 +54,11 @@ def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = recompression.drop_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -61,5 +66,5 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_katz_backoff, op2_spaced_seeds, op4_markov_secrets, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
+    f.__name__: f for f in (op1_katz_backoff, op2_spaced_seeds, op4_markov_secrets, op5_recompression, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
 }
