@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontamination, hnsw, katz, recompression, resharding, secrets, toxicity
+from tidemark.llm import bpe, decontamination, hnsw, katz, orderhash, recompression, resharding, secrets, toxicity
 from tidemark.llm.common import crc_mod, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -59,6 +59,10 @@ def op5_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orderhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -66,5 +70,5 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_katz_backoff, op2_spaced_seeds, op4_markov_secrets, op5_recompression, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
+    f.__name__: f for f in (op1_katz_backoff, op2_spaced_seeds, op4_markov_secrets, op5_recompression, op6_order_minhash, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
 }
