@@ -1,12 +1,53 @@
-"""Filters a corpus stage by stage; each stage's table is written and read again by the next."""
+"""Filters a corpus stage by stage; each stage's table is written and read again by the next.
+
+Toxic documents go; of near-duplicate classes one document stays; documents that quote benchmark
+items go; secrets are blotted out of the texts; what is left is encoded.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import bpe, decontamination, orderhash, secrets, toxicity
+from tidemark.llm.common import crc_mod, stored, table
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), crc_mod("id", 3) != 1)
+    return toxicity.drop_toxic(docs, model)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return orderhash.keep_one(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = secrets.redact(docs, secrets.train(secrets.samples(docs)))
+    return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), tuple(c for c in docs.columns if c != "text"))
+    return coded.select(
+        *[c for c in docs.columns if c != "text"], (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids", "decoded"
+    )
 
-from tidemark.llm.common import stored, table
 
-STAGES: list = []
+STAGES = [
+    ("toxicity", without_toxic),
+    ("near-duplicates", without_near_duplicates),
+    ("decontamination", without_benchmark),
+    ("secrets", without_secrets),
+    ("encoding", encoded),
+]
+#: Classifiers, sketches and tokenizers aren't SQL; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
