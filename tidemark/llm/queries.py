@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontamination, hnsw, katz, orderhash, recompression, resharding, secrets, toxicity
+from tidemark.llm import bpe, decontamination, hnsw, katz, orderhash, recompression, resharding, secrets, suffixes, toxicity
 from tidemark.llm.common import crc_mod, table
 
 ORACLE_SQL: dict[str, str] = {}
@@ -50,6 +50,11 @@ def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_deep_shallow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.drop_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -70,5 +75,5 @@ def op7_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_katz_backoff, op2_spaced_seeds, op4_markov_secrets, op5_recompression, op6_order_minhash, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
+    f.__name__: f for f in (op1_katz_backoff, op2_spaced_seeds, op3_deep_shallow, op4_markov_secrets, op5_recompression, op6_order_minhash, op7_trie_bpe, op8_mil_toxicity, op9_hnsw, op10_flow_resharding)
 }
