@@ -50,6 +50,12 @@ def check(spark, seed, window):
 
 def test_against_brute_force(spark):
     check(spark, 1, 50)
+
+
+def test_small_packs_and_buckets(spark, monkeypatch):
+    monkeypatch.setattr(R, "PACK_BYTES", 2000)
+    monkeypatch.setattr(R, "BUCKET_WINDOWS", 300)
+    monkeypatch.setattr(R, "SLICE_WORDS", 100)
     check(spark, 2, 20)
 
 

@@ -23,13 +23,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import release_shuffles, stored, utf8
+from tidemark.llm.common import chunks, release_shuffles, stored, utf8
 
 WINDOW, ROUNDS = 50, 3
-SLICE_WORDS = 600_000
+SLICE_WORDS = 150_000
+#: Bytes of text whose windows travel together, and windows per bucket.
+PACK_BYTES, BUCKET_WINDOWS = 8 << 20, 2_000_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -165,52 +168,127 @@ def _symbols(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
                 )
 
 
-def _window_hashes(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Hash and place of the windows in question: columns doc_id, digest, text, runs (at, n)."""
-    ids = _Ids()
+def _expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of all runs, one after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column and how many each row has."""
+    whole = column.combine_chunks()
+    return whole.flatten().to_numpy(), np.diff(whole.offsets.to_numpy())
+
+
+SENT = pa.schema([("bucket", pa.int32()), ("pack", pa.int64()), ("hash", pa.binary()), ("doc", pa.binary()), ("at", pa.binary()), ("ids", pa.binary()), ("digests", pa.binary())])
+
+
+def _send_windows(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Hashes of the windows in question, by bucket; columns doc_id, digest, text, at, n.
+
+    Of equal windows of one pack only those of the least document are sent; the others are gone already.
+    """
+    ids, pack = _Ids(), TaskContext.get().partitionId() << 32
     inverse = np.uint64(pow(int(ODD), -1, 1 << 64))
     with np.errstate(over="ignore"):
-        for b in batches:
-            texts, runs = utf8(b["text"]), b["runs"].to_pylist()
-            for i, (t, rs) in enumerate(zip(texts, runs, strict=True)):
-                w, _ = word_ids([t], ids)
-                n = len(w)
-                power = np.full(n + 1, ODD)
-                power[0] = 1
-                power = np.cumprod(power)
-                back = np.full(n + 1, inverse)
-                back[0] = 1
-                back = np.cumprod(back)
-                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(w) * power[:n])])
-                at = np.unique(np.concatenate([np.arange(r["at"], r["at"] + r["n"]) for r in rs]))
-                at = at[at + window <= n]
-                h = mix((total[at + window] - total[at]) * back[at])
-                m = len(at)
-                one = b.slice(i, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h.view(np.int64)), one["doc_id"].take(pa.array(np.zeros(m, np.int64))), one["digest"].take(pa.array(np.zeros(m, np.int64))), pa.array(at.astype(np.int32))],
-                    names=["hash", "doc_id", "digest", "at"],
-                )
+        for t in chunks(batches, PACK_BYTES):
+            pack += 1
+            w, sizes = word_ids(utf8(t["text"]), ids)
+            n = len(w)
+            power, back = np.full(n + 1, ODD), np.full(n + 1, inverse)
+            power[0] = back[0] = 1
+            power, back = np.cumprod(power), np.cumprod(back)
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(w) * power[:n])])
+            (at, runs), (length, _) = _lists(t["at"]), _lists(t["n"])
+            doc_of_run = np.repeat(np.arange(len(sizes)), runs)
+            begin = np.cumsum(sizes) - sizes
+            p = _expand(begin[doc_of_run] + at, length)
+            doc = np.repeat(doc_of_run, length).astype(np.uint32)
+            h = mix((total[p + window] - total[p]) * back[p])
+            place = (p - begin[doc]).astype(np.uint32)
+            name = t["doc_id"].to_numpy()
+            order = np.argsort(h, kind="stable")
+            first = np.ones(len(h), bool)
+            first[1:] = h[order[1:]] != h[order[:-1]]
+            heads = np.flatnonzero(first)
+            least = np.minimum.reduceat(name[doc[order]], heads) if len(h) else name[:0]
+            gone = np.zeros(len(h), bool)
+            gone[order] = name[doc[order]] > np.repeat(least, np.diff(np.append(heads, len(h))))
+            digests = b"".join(t["digest"].to_pylist())
+            rows = [(pack % buckets, b"", doc[gone], place[gone], name.astype("<i8").tobytes(), digests)]
+            rest = order[~gone[order]]
+            bucket = ((h[rest] >> np.uint64(40)) % np.uint64(buckets)).astype(np.int32)
+            by = np.argsort(bucket, kind="stable")
+            which, starts = np.unique(bucket[by], return_index=True)
+            for b, i, j in zip(which.tolist(), starts, [*starts[1:], len(by)], strict=True):
+                k = rest[by[i:j]]
+                rows.append((b, h[k].tobytes(), doc[k], place[k], name[doc[k]].astype("<i8").tobytes(), None))
+            for b, hs, d, a, i, x in rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(SENT.names, (b, pack, hs, d.tobytes(), a.tobytes(), i, x), strict=True))], schema=SENT)
+
+
+def _compare(key: tuple, group: pa.Table) -> pa.Table:
+    """Of each pack, the windows of one bucket that also begin in a document of smaller id."""
+    rows = [r for b in group.to_batches(max_chunksize=64) for r in b.to_pylist()]
+    sent = [r for r in rows if r["digests"] is None]
+    out = [r for r in rows if r["digests"] is not None]
+    if sent:
+        h = np.concatenate([np.frombuffer(r["hash"], np.uint64) for r in sent])
+        name = np.concatenate([np.frombuffer(r["ids"], "<i8") for r in sent])
+        order = np.argsort(h, kind="stable")
+        first = np.ones(len(h), bool)
+        first[1:] = h[order[1:]] != h[order[:-1]]
+        heads = np.flatnonzero(first)
+        least = np.minimum.reduceat(name[order], heads)
+        gone = np.zeros(len(h), bool)
+        gone[order] = name[order] > np.repeat(least, np.diff(np.append(heads, len(h))))
+        start = 0
+        for r in sent:
+            k = np.flatnonzero(gone[start : start + len(r["hash"]) // 8])
+            start += len(r["hash"]) // 8
+            if len(k):
+                d, a = (np.frombuffer(r[c], np.uint32)[k].tobytes() for c in ("doc", "at"))
+                out.append(r | {"hash": None, "doc": d, "at": a, "ids": None})
+    return pa.Table.from_pylist([{c: r[c] for c in ("pack", "doc", "at", "ids", "digests")} for r in out], schema=pa.schema([SENT.field(c) for c in ("pack", "doc", "at", "ids", "digests")]))
+
+
+def _gather(key: tuple, group: pa.Table) -> pa.Table:
+    """The windows to remove of each document of one pack, as runs."""
+    rows = [r for b in group.to_batches(max_chunksize=64) for r in b.to_pylist()]
+    head = next(r for r in rows if r["digests"] is not None)
+    name = np.frombuffer(head["ids"], "<i8")
+    doc, at = (np.concatenate([np.frombuffer(r[c], np.uint32) for r in rows]).astype(np.int64) for c in ("doc", "at"))
+    flat = np.unique(doc << 32 | at)
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1] + 1
+    first = np.flatnonzero(new)
+    n = np.diff(np.append(first, len(flat)))
+    doc = flat[first] >> 32
+    used = np.unique(doc)
+    offsets = pa.array(np.append(np.searchsorted(doc, used), len(doc)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (flat[first] & 0xFFFFFFFF, n)]
+    digests = [head["digests"][16 * i : 16 * i + 16] for i in used.tolist()]
+    return pa.table({"doc_id": pa.array(name[used]), "digest": pa.array(digests, pa.binary()), "at": lists[0], "n": lists[1]})
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, text, copy and at (first words of windows to remove) to words, removed words and kept text."""
+    """doc_id, text, copy and at, n (runs of first words of windows to remove) to words, removed words and kept text."""
     for b in batches:
-        copies, ats = b["copy"].to_pylist(), b["at"].to_pylist()
+        copies, ats, ns = (b[c].to_pylist() for c in ("copy", "at", "n"))
         sizes, gone, kept = [], [], []
-        for t, copy, at in zip(utf8(b["text"]), copies, ats, strict=True):
+        for t, copy, at, n in zip(utf8(b["text"]), copies, ats, ns, strict=True):
             words = t.split()
-            n = len(words)
-            if copy and n >= window:
+            size = len(words)
+            if copy and size >= window:
                 words = []
             elif at:
-                depth = np.zeros(n + 1, np.int64)
-                p = np.array(at)
-                np.add.at(depth, p, 1)
-                np.add.at(depth, p + window, -1)
-                words = [words[i] for i in np.flatnonzero(np.cumsum(depth[:n]) == 0)]
-            sizes.append(n)
-            gone.append(n - len(words))
+                parts, end = [], 0
+                for a, m in sorted(zip(at, n, strict=True)):
+                    parts += words[end:a] if a > end else []
+                    end = max(end, a + m + window - 1)
+                words = parts + words[end:]
+            sizes.append(size)
+            gone.append(size - len(words))
             kept.append(b" ".join(words).decode())
         yield pa.RecordBatch.from_arrays(
             [b["doc_id"], pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"]
@@ -220,27 +298,26 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
 def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and kept text: without the words of windows that begin in a document of smaller id."""
     release_shuffles(docs.sparkSession)
-    given = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     given = given.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
     named = given.where("doc_id is not null")
-    kind = named.schema["doc_id"].dataType.simpleString()
     runs = "array<struct<symbol:bigint,at:int,n:int>>"
-    symbols = stored(named.mapInArrow(functools.partial(_symbols, window=window), f"doc_id {kind}, digest binary, runs {runs}"), "symbols")
-    texts = symbols.select("doc_id", "digest")
-    least = texts.groupBy("digest").agg(F.min("doc_id").alias("least"))
-    copies = texts.distinct().join(least, "digest").where(F.col("doc_id") > F.col("least")).select("doc_id", "digest", F.lit(True).alias("copy"))
-    firsts = symbols.join(least.withColumnRenamed("least", "doc_id"), ["digest", "doc_id"], "left_semi")
-    places = firsts.select("doc_id", "digest", F.inline("runs"))
+    symbols = stored(named.mapInArrow(functools.partial(_symbols, window=window), f"doc_id long, digest binary, runs {runs}"), "symbols")
+    least = symbols.groupBy("digest").agg(F.min("doc_id").alias("least"))
+    copies = symbols.select("doc_id", "digest").distinct().join(least, "digest").where(F.col("doc_id") > F.col("least")).select("doc_id", "digest", F.lit(True).alias("copy"))
+    firsts = symbols.join(least.withColumnRenamed("least", "doc_id"), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest", "doc_id"])
+    places = stored(firsts.select("doc_id", "digest", F.inline("runs")), "places")
     shared = places.groupBy("symbol").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("symbol")
-    suspects = places.join(shared, "symbol").groupBy("doc_id", "digest").agg(F.collect_list(F.struct("at", "n")).alias("runs"))  # a text's own windows
-    windows = stored(
-        named.join(suspects, ["doc_id", "digest"])
-        .select("doc_id", "digest", "text", "runs")
-        .mapInArrow(functools.partial(_window_hashes, window=window), f"hash long, doc_id {kind}, digest binary, at int"),
-        "windows",
+    suspects = stored(
+        places.join(shared, "symbol").groupBy("doc_id", "digest").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"), F.sum("n").alias("windows")),  # a text's own
+        "suspects",
     )
-    first = windows.groupBy("hash").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("hash", "a")
-    later = windows.join(first, "hash").where(F.col("doc_id") > F.col("a"))
-    gone = stored(later.groupBy("doc_id", "digest").agg(F.collect_list("at").alias("at")), "gone")  # a text's own windows
-    told = given.join(gone, ["doc_id", "digest"], "left").join(copies, ["doc_id", "digest"], "left").select("doc_id", "text", "copy", "at")
-    return told.mapInArrow(functools.partial(_cut, window=window), f"doc_id {kind}, n_words long, n_removed long, kept string")
+    windows = suspects.agg(F.sum("windows")).first()[0] or 0
+    buckets = max(1, -(-windows // BUCKET_WINDOWS))
+    asked = named.join(suspects.drop("windows"), ["doc_id", "digest"]).select("doc_id", "digest", "text", "at", "n")
+    sent = asked.mapInArrow(functools.partial(_send_windows, window=window, buckets=buckets), "bucket int, pack long, hash binary, doc binary, at binary, ids binary, digests binary")
+    told = sent.groupBy("bucket").applyInArrow(_compare, "pack long, doc binary, at binary, ids binary, digests binary")
+    gone = stored(told.groupBy("pack").applyInArrow(_gather, "doc_id long, digest binary, at array<int>, n array<int>"), "gone")
+    gone = gone.groupBy("doc_id", "digest").agg(F.flatten(F.collect_list("at")).alias("at"), F.flatten(F.collect_list("n")).alias("n"))
+    told = given.join(gone, ["doc_id", "digest"], "left").join(copies, ["doc_id", "digest"], "left").select("doc_id", "text", "copy", "at", "n")
+    return told.mapInArrow(functools.partial(_cut, window=window), "doc_id long, n_words long, n_removed long, kept string")
