@@ -32,8 +32,9 @@ from tidemark.llm.decontamination import _Ids, token_ids
 SHINGLE, SIMILAR = 5, 0.8
 #: Tables, and shingles whose order makes a table's key. A pair of similarity 0.8 shares no key with odds of 1 in 95,000.
 TABLES, ORDERED = 16, 3
-#: Least rounds of leaders, and how many texts outside the main class of a bucket are compared with all of it.
-ROUNDS, FULL = 3, 24
+#: Least rounds after the first, how many texts outside the main class of a bucket are compared with all of it, and
+#: leaders per round of buckets with more of them.
+ROUNDS, FULL, LEADERS = 1, 24, 6
 SLICE_CHARS = 3 << 20
 #: Rows of 16 bytes that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -185,8 +186,8 @@ def with_digest(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("digest"))
 
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct texts (digest, least doc_id), and verified near pairs (a, b, similarity) between their digests."""
+def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Distinct texts (digest, least doc_id), verified near pairs (a, b, similarity) of digests, and their components."""
     spark = docs.sparkSession
     release_shuffles(spark)
     given = with_digest(docs)
@@ -205,15 +206,16 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     while True:
         other = F.struct(F.col("digest").alias("d"), F.col("n").alias("o"), F.col("class").alias("c"))
         if step:
-            known = components(found).withColumnRenamed("node", "digest")
-            rows = entries.join(known, "digest", "left").withColumn("class", F.coalesce("class", "digest"))
+            known = components(found)
+            rows = entries.join(known.withColumnRenamed("node", "digest"), "digest", "left").withColumn("class", F.coalesce("class", "digest"))
             main = rows.groupBy("key", "class").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("class", "m").alias("main"), F.sum("m").alias("all"), F.max("m").alias("most"))
             rows = stored(rows.join(main.where(F.col("all") > F.col("most")), "key"), "split")
             if rows.isEmpty():
                 break
             few = F.col("all") - F.col("most") <= FULL
             lead = rows.where(few & (F.col("class") != F.col("main"))).select("key", other.alias("x"))
-            lead = lead.unionByName(rows.where(~few).groupBy("key").agg(F.min_by(other, F.xxhash64("digest", F.lit(step))).alias("x")))
+            leaders = [F.min_by(other, F.xxhash64("digest", F.lit(step * LEADERS + k))) for k in range(LEADERS)]
+            lead = lead.unionByName(rows.where(~few).groupBy("key").agg(F.array_distinct(F.array(*leaders)).alias("x")).select("key", F.explode("x").alias("x")))
         else:
             rows = entries.withColumn("class", F.col("digest"))
             lead = rows.groupBy("key").agg(F.min_by(other, F.struct(-F.col("central"), F.xxhash64("digest"))).alias("x"))
@@ -223,17 +225,17 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         tested = pairs if tested is None else tested.unionByName(pairs)
         both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")), "b")
         new = stored(both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a binary, b binary, similarity double"), "links")
-        found = found.unionByName(new)
         step += 1
         if step > ROUNDS and new.isEmpty():
             break
-    return nodes.select("digest", "least"), found
+        found = found.unionByName(new)
+    return nodes.select("digest", "least"), found, known
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, digest and class_id of every row: the least doc_id among the texts it is connected to."""
-    nodes, found = links(docs)
-    joined = nodes.join(components(found).withColumnRenamed("node", "digest"), "digest", "left").withColumn("class", F.coalesce("class", "digest"))
+    nodes, _, known = links(docs)
+    joined = nodes.join(known.withColumnRenamed("node", "digest"), "digest", "left").withColumn("class", F.coalesce("class", "digest"))
     least = joined.groupBy("class").agg(F.min("least").alias("class_id"))
     of = stored(joined.join(least, "class").select("digest", "class_id"), "classes")
     return with_digest(docs).select("doc_id", "digest").join(of, "digest")
