@@ -1 +1 @@
-"""Part of the panel engine."""
+"""Relational building blocks: windows, joins, statistics."""
