@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,17 +56,20 @@ def utf8(column: pa.Array) -> list[bytes]:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
-    """Joins record batches to tables of about ``most`` bytes; a longer batch stays whole."""
+    """The rows in tables of about ``most`` bytes of ``text``, in order; a longer text is a table of its own."""
     held: list[pa.RecordBatch] = []
     size = 0
     for b in batches:
-        if b.num_rows == 0:
-            continue
-        if held and size + b.nbytes > most:
-            yield pa.Table.from_batches(held)
-            held, size = [], 0
-        held.append(b)
-        size += b.nbytes
+        lengths = pc.fill_null(pc.binary_length(b["text"]), 0).to_pylist()
+        first = 0
+        for i, n in enumerate(lengths):
+            if size and size + n > most:
+                held.append(b.slice(first, i - first))
+                yield pa.Table.from_batches([x for x in held if x.num_rows])
+                held, size, first = [], 0, i
+            size += n + 64
+        held.append(b.slice(first))
+    held = [x for x in held if x.num_rows]
     if held:
         yield pa.Table.from_batches(held)
 
