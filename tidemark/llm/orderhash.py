@@ -3,9 +3,9 @@
 A text is the sequence of its five-word shingles, each labelled with how often it has occurred
 before, so all are distinct.  Per table the few shingles with the least hashes are taken and kept in
 text order; their sequence is the table's key.  Texts sharing a key are candidates: each is compared
-with a leader of its bucket, first the text that shares most keys with others.  What then is left
-outside a bucket's main class is compared with the whole bucket if it is few texts, else with one
-leader after another as long as that finds links.  A pair counts as near if an alignment
+with a leader of its bucket, the text that shares most keys with others.  Buckets that then still
+hold several classes are compared in full if they are small; in larger ones every text outside the
+main class is compared with a number of further leaders, central ones and others.  A pair counts as near if an alignment
 within a band around the diagonal matches m of its n and o shingles with m / (n + o - m) >= 0.8; as
 labelled shingles are distinct, the best alignment is a longest increasing run of match places.
 Classes are the connected components of verified pairs; equal texts are one node throughout.
@@ -32,9 +32,8 @@ from tidemark.llm.decontamination import _Ids, token_ids
 SHINGLE, SIMILAR = 5, 0.8
 #: Tables, and shingles whose order makes a table's key. A pair of similarity 0.8 shares no key with odds of 1 in 95,000.
 TABLES, ORDERED = 16, 3
-#: Least rounds after the first, how many texts outside the main class of a bucket are compared with all of it, and
-#: leaders per round of buckets with more of them.
-ROUNDS, FULL, LEADERS = 1, 24, 6
+#: Rounds after the first, texts up to which a bucket is compared in full, and leaders of either kind of larger ones.
+ROUNDS, FULL, LEADERS = 1, 32, 12
 SLICE_CHARS = 3 << 20
 #: Rows of 16 bytes that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -212,10 +211,13 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             rows = stored(rows.join(main.where(F.col("all") > F.col("most")), "key"), "split")
             if rows.isEmpty():
                 break
-            few = F.col("all") - F.col("most") <= FULL
-            lead = rows.where(few & (F.col("class") != F.col("main"))).select("key", other.alias("x"))
-            leaders = [F.min_by(other, F.xxhash64("digest", F.lit(step * LEADERS + k))) for k in range(LEADERS)]
-            lead = lead.unionByName(rows.where(~few).groupBy("key").agg(F.array_distinct(F.array(*leaders)).alias("x")).select("key", F.explode("x").alias("x")))
+            # whole buckets if they are small; else what is outside the main class against leaders, half of them central
+            small = F.col("all") <= FULL
+            hashes = [F.xxhash64("digest", F.lit(k)) for k in range(2 * LEADERS)]
+            picks = [F.min_by(other, F.struct(-F.col("central"), h) if k % 2 else h) for k, h in enumerate(hashes)]
+            lead = rows.where(~small).groupBy("key").agg(F.array_distinct(F.array(*picks)).alias("x")).select("key", F.explode("x").alias("x"))
+            lead = lead.unionByName(rows.where(small).select("key", other.alias("x")))
+            rows = rows.where(small | (F.col("class") != F.col("main")))
         else:
             rows = entries.withColumn("class", F.col("digest"))
             lead = rows.groupBy("key").agg(F.min_by(other, F.struct(-F.col("central"), F.xxhash64("digest"))).alias("x"))
@@ -226,9 +228,10 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")), "b")
         new = stored(both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a binary, b binary, similarity double"), "links")
         step += 1
-        if step > ROUNDS and new.isEmpty():
-            break
         found = found.unionByName(new)
+        if step > ROUNDS:
+            known = components(found)
+            break
     return nodes.select("digest", "least"), found, known
 
 
