@@ -113,10 +113,11 @@ def place_blocks(blocks: pd.DataFrame, n_new: int) -> np.ndarray:
     return shard
 
 
-def with_blocks(docs: DataFrame, n_blocks: int = N_BLOCKS) -> DataFrame:
-    """doc_id, size, text_crc32 and the block and part that each row belongs to."""
+def with_blocks(docs: DataFrame, n_blocks: int = N_BLOCKS, whole: bool = False) -> DataFrame:
+    """doc_id, size, text_crc32 and the block and part that each row belongs to; the whole row too, if asked for."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
+        *([F.struct("*").alias("row")] if whole else []),
         "doc_id",
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
@@ -125,17 +126,18 @@ def with_blocks(docs: DataFrame, n_blocks: int = N_BLOCKS) -> DataFrame:
     )
 
 
-def reshard(docs: DataFrame, n_new: int, n_old: int, n_blocks: int = N_BLOCKS) -> DataFrame:
+def reshard(docs: DataFrame, n_new: int, n_old: int, n_blocks: int = N_BLOCKS, whole: bool = False) -> DataFrame:
     """Moves documents from ``n_old`` shards (block number modulo ``n_old``) to ``n_new`` near-equal ones.
 
-    Returns doc_id, size, text_crc32, old_shard, shard, slot: slots run from 0 without gaps in each shard.
+    Returns doc_id, size, text_crc32, old_shard, shard, slot (and row, the whole row, if asked for): slots
+    run from 0 without gaps in each shard.
     """
-    rows = with_blocks(docs, n_blocks)
-    parts = rows.groupBy("block", "part").agg(F.count("*").alias("rows"), F.sum("size").alias("size")).toPandas()
+    rows = with_blocks(docs, n_blocks, whole)
+    parts = with_blocks(docs, n_blocks).groupBy("block", "part").agg(F.count("*").alias("rows"), F.sum("size").alias("size")).toPandas()
     parts["old"] = parts["block"] % n_old
     parts = parts.sort_values(["block", "part"], ignore_index=True)
-    whole = parts.groupby("block")["size"].transform("sum")
-    parts["unit"] = np.where(whole > parts["size"].sum() / n_new / 4, parts["block"] * SPLIT + parts["part"], parts["block"] * SPLIT)
+    heavy = parts.groupby("block")["size"].transform("sum")
+    parts["unit"] = np.where(heavy > parts["size"].sum() / n_new / 4, parts["block"] * SPLIT + parts["part"], parts["block"] * SPLIT)
     units = parts.groupby("unit", as_index=False).agg(old=("old", "first"), size=("size", "sum"))
     units["shard"] = place_blocks(units, n_new)
     parts = parts.merge(units[["unit", "shard"]], on="unit")
@@ -148,17 +150,18 @@ def reshard(docs: DataFrame, n_new: int, n_old: int, n_blocks: int = N_BLOCKS) -
     return (
         rows.withColumn("n", F.row_number().over(inside))
         .join(F.broadcast(placed), ["block", "part"])  # at most n_blocks * SPLIT rows of five numbers
-        .select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("first") + F.col("n") - 1).alias("slot"))
+        .select(*(["row"] if whole else []), "doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("first") + F.col("n") - 1).alias("slot"))
     )
 
 
-def rewrite_affected(docs: DataFrame, placed: DataFrame, out_dir: str) -> list[int]:
-    """Writes the shards whose rows changed, one folder per shard; returns their numbers.
+def rewrite_affected(docs: DataFrame, n_new: int, n_old: int, out_dir: str, n_blocks: int = N_BLOCKS) -> list[int]:
+    """Writes the shards whose rows change, one folder ``_shard=N`` each, and returns their numbers.
 
-    A shard none of whose rows came or went keeps its files and is not written.
+    A shard that no row leaves or enters keeps its files and is not written.
     """
+    placed = reshard(docs, n_new, n_old, n_blocks, whole=True)
     moved = placed.where("old_shard <> shard")
-    touched = sorted(r[0] for r in moved.select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct().collect())
-    keyed = placed.where(F.col("shard").isin(touched or [-1])).select("doc_id", "shard", "slot")
-    docs.join(keyed, "doc_id").write.mode("overwrite").partitionBy("shard").parquet(out_dir)
+    touched = sorted(r[0] for r in moved.select(F.explode(F.array("old_shard", "shard")).alias("s")).distinct().collect())  # one row per shard
+    rows = placed.where(F.col("shard").isin(touched or [-1])).select("row.*", F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
+    rows.write.mode("overwrite").partitionBy("_shard").parquet(out_dir)
     return touched
