@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Flow items are cumulative within the year, stock items are balances.
 FLOWS = ("revenue", "op_cost", "adj_np", "net_income", "op_profit", "cfo", "capex")
 STOCKS = ("ar", "inventory", "assets", "liabilities", "current_assets", "current_liab")
-#: A calm price: unit prices vary too much from day to day to compound over years.
-PRICE = 1000 + F.col("l_extendedprice") / F.col("l_quantity") / 20
+
+
+def price() -> Column:
+    """A calm price: unit prices vary too much from day to day to compound over years."""
+    return 1000 + F.col("l_extendedprice") / F.col("l_quantity") / 20
 
 
 class Tables:
@@ -28,9 +31,9 @@ class Tables:
             self.raw("lineitem")
             .groupBy(F.col("l_suppkey").alias("security_id"), F.col("l_shipdate").cast("date").alias("trade_date"))
             .agg(
-                F.round(F.min_by(PRICE, order), 6).alias("open"),
-                F.round(F.max(PRICE), 6).alias("high"),
-                F.round(F.min(PRICE), 6).alias("low"),
+                F.round(F.min_by(price(), order), 6).alias("open"),
+                F.round(F.max(price()), 6).alias("high"),
+                F.round(F.min(price()), 6).alias("low"),
                 F.round(1000 + F.sum("l_extendedprice") / F.sum("l_quantity") / 20, 6).alias("close"),
                 F.sum("l_quantity").alias("volume"),
                 F.round(F.sum("l_extendedprice"), 2).alias("amount"),

@@ -255,7 +255,7 @@ OWN = "over (partition by security_id order by trade_date)"
 
 def rolled(name: str, table: str, value: str, spark_value, n: int, least: int, agg: str, how, frame: str, digits: int = 6) -> None:
     select(name, f"select security_id, trade_date, {r(roll(agg, value, n, least), digits)} as x from {table}",
-           lambda m: getattr(m, frame).select(*KEY, R(W.rolling(spark_value, n, least, how), digits).alias("x")))
+           lambda m: getattr(m, frame).select(*KEY, R(W.rolling(spark_value(), n, least, how), digits).alias("x")))
 
 
 select("w01_lag_one", f"select security_id, trade_date, lag(close) {OWN} as prev_close from bars", lambda m: m.bars.select(*KEY, F.lag("close").over(W.own()).alias("prev_close")))
@@ -265,12 +265,12 @@ select("w04_padded_change", f"select security_id, trade_date, {r('b / nullif(lag
        lambda m: m.margin.withColumn("b", W.filled(col("balance"))).select(*KEY, R(W.change("b", 20), 6).alias("x")))
 select("w05_compounded", f"select security_id, trade_date, {r('tri')} as tri from returns", lambda m: m.returns.select(*KEY, R("tri", 6).alias("tri")))
 select("w05_benchmark_index", f"select trade_date, {r('ew_tri')} as ew_tri, {r('ffm_tri')} as ffm_tri, {r('cap_tri')} as cap_tri from bench", lambda m: m.bench.select("trade_date", *[R(c, 6).alias(c) for c in ("ew_tri", "ffm_tri", "cap_tri")]))
-rolled("w06_rolling_mean", "bars", "close", col("close"), 20, 10, "avg", F.avg, "bars")
-rolled("w07_rolling_max", "bars", "close", col("close"), 252, 120, "max", F.max, "bars")
-rolled("w08_rolling_deviation", "returns", "(case when ret < 0 then ret else 0 end)", F.when(col("ret") < 0, col("ret")).otherwise(0.0), 20, 10, "stddev_samp", F.stddev_samp, "returns")
+rolled("w06_rolling_mean", "bars", "close", lambda: col("close"), 20, 10, "avg", F.avg, "bars")
+rolled("w07_rolling_max", "bars", "close", lambda: col("close"), 252, 120, "max", F.max, "bars")
+rolled("w08_rolling_deviation", "returns", "(case when ret < 0 then ret else 0 end)", lambda: F.when(col("ret") < 0, col("ret")).otherwise(0.0), 20, 10, "stddev_samp", F.stddev_samp, "returns")
 select("w09_trailing_sum", "select security_id, report_period, " + ", ".join(f"{r(c + '_ttm', 4)} as {c}" for c in FLOWS) + " from ttm", lambda m: fundamentals.trailing(m.statements).select("security_id", "report_period", *[R(f"{c}_ttm", 4).alias(c) for c in FLOWS]))
-rolled("w10_rolling_median", "bars", "close", col("close"), 8, 3, "median", lambda x: F.percentile(x, F.lit(0.5)), "bars")
-select("w11_rolling_rank_share", f"select security_id, as_of_date, {r('raw_f42')} as x from f42", lambda m: m.joined.select("security_id", "as_of_date", R(-W.rolling_rank_share(col("combo"), 756, 126, X.PANEL), 6).alias("x")))
+rolled("w10_rolling_median", "bars", "close", lambda: col("close"), 8, 3, "median", lambda x: F.percentile(x, F.lit(0.5)), "bars")
+select("w11_rolling_rank_share", f"select security_id, as_of_date, {r('raw_f42')} as x from f42", lambda m: m.joined.select("security_id", "as_of_date", R(-W.rolling_rank_share(col("combo"), 756, 126, X.panel_window()), 6).alias("x")))
 
 Z_HISTORY = """select as_of_date, x, md, 1.4826 * list_median(list_transform(h, lambda v: abs(v - md))) as mad, list_stddev_pop(h) as sd, len(h) as n from
     (select *, list_median(h) as md from (select as_of_date, x, coalesce(list(x) filter (x is not null) over (order by as_of_date rows between unbounded preceding and 1 preceding), []) as h from ({}) s0) s1) s2"""

@@ -11,7 +11,6 @@ from tidemark import functions as T
 from tidemark.operators import stats
 from tidemark.operators import windows as W
 from tidemark.plans.catalog import FIX, REPORT, Panel, col, query, r, select
-from tidemark.plans.factors import PANEL  # noqa: F401
 
 R = F.round
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions import log_positive, safe_div
@@ -15,8 +15,10 @@ MACHINE = (22, 34, 35, 36, 37, 38, 40, 45)
 MARKET = (12, 13, 15, 16, 17, 47, 48, 49, 50, 55)
 MISSING = (1, 2, 3, 4, 5, 10, 11, 17, 19, 39)
 VERSION = "V3.0.3-H1-REAL-V1"
-PANEL = W.own("as_of_date")
-COMPANY = [18, *range(20, 39), 40, *range(41, 56)]
+
+
+def panel_window() -> WindowSpec:
+    return W.own("as_of_date")
 
 
 def growth(c: str) -> Column:
@@ -36,7 +38,7 @@ def joined(market: DataFrame, membership: DataFrame, reports: DataFrame, valuati
     m = margin.withColumnRenamed("trade_date", "as_of_date").dropDuplicates(["security_id", "as_of_date"])
     d = d.join(v, ["security_id", "as_of_date"], "left").join(m, ["security_id", "as_of_date"], "left")
     combo = (log_positive("pe_ttm") + log_positive("pb")) / 2
-    return d.withColumn("combo", combo).withColumn("bal", W.filled(F.col("balance"), PANEL))
+    return d.withColumn("combo", combo).withColumn("bal", W.filled(F.col("balance"), panel_window()))
 
 
 def raw_panel(d: DataFrame) -> DataFrame:
@@ -48,12 +50,12 @@ def raw_panel(d: DataFrame) -> DataFrame:
         "share": safe_div(F.col("revenue_ttm"), by_industry(F.col("revenue_ttm"), F.sum)),
     })
     d = d.withColumns({
-        "raw_f34": W.difference("mey", 21, PANEL),
-        "raw_f35": W.difference("mey", 63, PANEL),
-        "raw_f40": -W.difference("mdisp", 63, PANEL),
-        "raw_f51": W.change("bal", 20, PANEL),
-        "raw_f23": W.difference("share", 252, PANEL),
-        "raw_f42": -W.rolling_rank_share(F.col("combo"), 756, 126, PANEL),
+        "raw_f34": W.difference("mey", 21, panel_window()),
+        "raw_f35": W.difference("mey", 63, panel_window()),
+        "raw_f40": -W.difference("mdisp", 63, panel_window()),
+        "raw_f51": W.change("bal", 20, panel_window()),
+        "raw_f23": W.difference("share", 252, panel_window()),
+        "raw_f42": -W.rolling_rank_share(F.col("combo"), 756, 126, panel_window()),
     })
     sign = F.signum(F.coalesce("raw_f34", F.lit(0.0)))
     return d.withColumns({
@@ -77,7 +79,7 @@ def raw_panel(d: DataFrame) -> DataFrame:
         "raw_f18": by_industry(F.col("raw_f24"), F.median),
         "raw_f20": safe_div("inventory", "revenue_ttm"),
         "raw_f21": F.col("raw_f24") - growth("inventory"),
-        "raw_f46": W.rolling(F.col("turnover_rate"), 20, 10, F.avg, PANEL) + F.coalesce("raw_f51", F.lit(0.0)),
+        "raw_f46": W.rolling(F.col("turnover_rate"), 20, 10, F.avg, panel_window()) + F.coalesce("raw_f51", F.lit(0.0)),
     })
 
 
