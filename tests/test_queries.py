@@ -40,7 +40,7 @@ def plain(v):
 
 
 def key(row):
-    return tuple((v is None, f"{v:.4e}" if isinstance(v, float) else str(v)) for v in row)
+    return tuple((v is None, f"{v:.8e}" if isinstance(v, float) else str(v)) for v in row)
 
 
 @pytest.mark.parametrize("name", NAMES)

@@ -18,7 +18,12 @@ from tidemark.plans.oracle import roll, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-R = F.round
+
+
+def R(x: Column | str, n: int) -> Column:  # noqa: N802
+    """Rounded, without a negative zero."""
+    return F.round(x, n) + F.lit(0.0)
+
 
 
 class Panel(Tables):
@@ -74,7 +79,7 @@ def query(name: str, body: str | None):
 
 
 def r(x: str, n: int = 6) -> str:
-    return f"round(cast({x} as double), {n})"
+    return f"(round(cast({x} as double), {n}) + 0.0)"
 
 
 def col(c: str) -> Column:

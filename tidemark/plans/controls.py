@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import functions as T
 from tidemark.operators import stats
 from tidemark.operators import windows as W
-from tidemark.plans.catalog import FIX, REPORT, Panel, col, query, r, select
-
-R = F.round
+from tidemark.plans.catalog import FIX, REPORT, Panel, R, col, query, r, select
 
 # ---- audit: one row per check --------------------------------------------------------------------
 
