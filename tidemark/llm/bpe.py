@@ -17,16 +17,19 @@ import functools
 import json
 import re
 from collections.abc import Iterator
+from struct import pack
+from unicodedata import is_normalized
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import chunks
+
 #: Bytes of text whose distinct words share one trie, and the chunks remembered at most.
-SLICE_BYTES = 8 << 20
-REMEMBERED = 250_000
+SLICE_BYTES = 4 << 20
+REMEMBERED = 160_000
 END = "</w>"
 #: The split pattern and the printable stand-ins for bytes of byte-level vocabularies.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -40,6 +43,18 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in PRINTABLE} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
 
 
+class _Shown(dict):
+    """Byte letters of a character."""
+
+    def __init__(self, letters: dict[int, str]):
+        super().__init__()
+        self.letters = letters
+
+    def __missing__(self, c: str) -> str:
+        v = self[c] = "".join([self.letters[b] for b in c.encode()])
+        return v
+
+
 class Merges:
     """Merge ranks of a vocabulary; a token is known by its id."""
 
@@ -61,8 +76,9 @@ class Merges:
         names = [(s, t) for s, t in vocab.items() if own[t]]
         self.inner = {s: t for s, t in names if not s.endswith(END)}
         self.last = {s[: -len(END)]: t for s, t in names if s.endswith(END)}
-        self.inner_ends = {s[i:] for s in self.inner for i in range(len(s))}
-        self.last_ends = {s[i:] for s in self.last for i in range(len(s))}
+        # every ending of a token, with the token's id if it is one itself, else -1
+        self.inner_ends = {s[i:]: -1 for s in self.inner for i in range(len(s))} | self.inner
+        self.last_ends = {s[i:]: -1 for s in self.last for i in range(len(s))} | self.last
         self.length = [0] * n
         for s, t in names:
             self.length[t] = len(s.removesuffix(END))
@@ -91,7 +107,7 @@ class Merges:
         key = a << 20 | b
         ok = self.known.get(key)
         if ok is None:
-            if len(self.known) > 400_000:
+            if len(self.known) > 250_000:
                 self.known.clear()
             ok = self.known[key] = not self._crossed(a, b, 1 << 40)
         return ok
@@ -100,7 +116,7 @@ class Merges:
         """Token ids of sorted distinct words, each without its end mark."""
         state = [-1]  # last token of the prefix of each length of the word at hand
         before = ""
-        adjacent, inner, inner_ends, length = self.adjacent, self.inner, self.inner_ends, self.length
+        inner_ends, last_ends, length = self.inner_ends, self.last_ends, self.length
         for w in words:
             n, same = len(w), 0
             most = min(n, len(before), len(state) - 1)
@@ -109,8 +125,8 @@ class Merges:
             del state[same + 1 :]
             before = w
             for d in range(len(state), n):
-                state.append(self._last(w, d, state, inner, inner_ends, adjacent))
-            t = self._last(w, n, state, self.last, self.last_ends, adjacent)
+                state.append(self._last(w, d, state, inner_ends))
+            t = self._last(w, n, state, last_ends)
             ids, d = [t], n - length[t]
             while d:
                 t = state[d]
@@ -119,16 +135,20 @@ class Merges:
             ids.reverse()
             yield ids
 
-    @staticmethod
-    def _last(w, d, state, tokens, ends, adjacent) -> int:
-        fits = []
-        i = d - 1
-        while i >= 0 and (s := w[i:d]) in ends:
-            if (t := tokens.get(s)) is not None:
+    def _last(self, w: str, d: int, state: list[int], ends: dict[str, int]) -> int:
+        """Last token of the first d letters: of the tokens that end there, the one that may stand after what is left."""
+        fits, i, find = [], d - 1, ends.get
+        while i >= 0 and (t := find(w[i:d])) is not None:
+            if t >= 0:
                 fits.append((i, t))
             i -= 1
-        for i, t in reversed(fits):
-            if i == 0 or adjacent(state[i], t):
+        known = self.known
+        while fits:
+            i, t = fits.pop()
+            if i == 0:
+                return t
+            ok = known.get(state[i] << 20 | t)
+            if ok or ok is None and self.adjacent(state[i], t):
                 return t
         raise ValueError(f"no token ends {w[:d]!r}")
 
@@ -146,7 +166,8 @@ class Encoder:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
         self.names = {t: s for s, t in spec["model"]["vocab"].items()} | {t: s for s, t in self.added.items()}
-        self.letters = byte_letters()
+        letters = byte_letters()
+        self.shown = _Shown(letters)
         self.ids: dict[str, bytes] = {"": b""}
         self.decoded: dict[str, str] = {"": ""}
 
@@ -155,7 +176,8 @@ class Encoder:
         if normal.isascii() and normal.isprintable():
             return WORDS.findall(normal)
         if normal and max(normal) < "ɐ" and normal.isprintable():  # letters and digits of these blocks are the same in all versions of the standard
-            return [x.encode().decode("latin-1").translate(self.letters) for x in WORDS.findall(normal)]
+            shown = self.shown.__getitem__
+            return [x if x.isascii() else "".join(map(shown, x)) for x in WORDS.findall(normal)]
         return [x for x, _ in self.lib.pre_tokenizer.pre_tokenize_str(normal)]
 
     def learn(self, chunks: set[str]) -> None:
@@ -164,7 +186,8 @@ class Encoder:
             self.ids, self.decoded = {"": b""}, {"": ""}
         new = [c for c in chunks if c not in self.ids]
         parts: list[tuple[str, list[str | int]]] = []
-        plain = [c for c in new if c.isascii() and c.isprintable() and "<|" not in c]
+        # in these blocks lower case is the same in all versions of the standard, letter by letter
+        plain = [c for c in new if c.isprintable() and "<|" not in c and (c.isascii() or max(c) < "ɐ" and is_normalized("NFC", c))]
         parts += [(c, self.words(c.lower())) for c in plain]
         done = set(plain)
         for c in new:
@@ -181,7 +204,7 @@ class Encoder:
         names = self.names
         for c, ws in parts:
             ids = [t for w in ws for t in (coded[w] if isinstance(w, str) else (w,))]
-            self.ids[c] = np.array(ids, "<u4").tobytes()
+            self.ids[c] = pack(f"<{len(ids)}I", *ids)
             self.decoded[c] = " ".join([names[t] for t in ids])
 
     def run(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
@@ -191,27 +214,13 @@ class Encoder:
         return [b"".join(map(ids, c)) for c in cut], [" ".join(filter(None, map(decoded, c))) for c in cut]
 
 
-def slices(texts: list[str], most: int) -> Iterator[tuple[int, int]]:
-    first = size = 0
-    for i, x in enumerate(texts):
-        if i > first and size + len(x) > most:
-            yield first, i
-            first, size = i, 0
-        size += len(x)
-    yield first, len(texts)
-
-
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     coder = None
-    for b in batches:
+    for t in chunks(batches, SLICE_BYTES):
         coder = coder or Encoder(path)
-        texts = [x or "" for x in b.column(b.num_columns - 1).to_pylist()]
-        for i, j in slices(texts, SLICE_BYTES):
-            ids, decoded = coder.run(texts[i:j])
-            kept = b.slice(i, j - i)
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns[:-1], pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names=[*b.schema.names[:-1], "ids", "decoded"]
-            )
+        ids, decoded = coder.run([x or "" for x in t["text"].to_pylist()])
+        kept = t.drop(["text"]).append_column("ids", pa.array(ids, pa.binary())).append_column("decoded", pa.array(decoded, pa.string()))
+        yield from kept.combine_chunks().to_batches()
 
 
 def encode_decode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
