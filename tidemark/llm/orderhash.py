@@ -5,7 +5,7 @@ before, so all are distinct.  Per table the few shingles with the least hashes a
 text order; their sequence is the table's key.  Texts sharing a key are candidates: each is compared
 with a leader of its bucket, the text that shares most keys with others.  Buckets that then still
 hold several classes are compared in full if they are small; in larger ones every text outside the
-main class is compared with a number of further leaders, central ones and others.  A pair counts as near if an alignment
+main class is compared with a number of further leaders, chosen among the most central texts.  A pair counts as near if an alignment
 within a band around the diagonal matches m of its n and o shingles with m / (n + o - m) >= 0.8; as
 labelled shingles are distinct, the best alignment is a longest increasing run of match places.
 Classes are the connected components of verified pairs; equal texts are one node throughout.
@@ -32,8 +32,8 @@ from tidemark.llm.decontamination import _Ids, token_ids
 SHINGLE, SIMILAR = 5, 0.8
 #: Tables, and shingles whose order makes a table's key. A pair of similarity 0.8 shares no key with odds of 1 in 95,000.
 TABLES, ORDERED = 16, 3
-#: Rounds after the first, texts up to which a bucket is compared in full, and leaders of either kind of larger ones.
-ROUNDS, FULL, LEADERS = 1, 32, 12
+#: Rounds after the first, texts up to which a bucket is compared in full, and leaders of larger ones.
+ROUNDS, FULL, LEADERS = 1, 24, 14
 SLICE_CHARS = 3 << 20
 #: Rows of 16 bytes that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -163,7 +163,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, class): each node of the links and the least node it is connected to."""
-    both = stored(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("class")), "labels")
     while True:
         heard = both.join(labels.select(F.col("node").alias("b"), "class"), "b").groupBy("a").agg(F.min("class").alias("m"))
@@ -211,10 +211,10 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             rows = stored(rows.join(main.where(F.col("all") > F.col("most")), "key"), "split")
             if rows.isEmpty():
                 break
-            # whole buckets if they are small; else what is outside the main class against leaders, half of them central
+            # whole buckets if they are small; else what is outside the main class against leaders, the central ones
             small = F.col("all") <= FULL
-            hashes = [F.xxhash64("digest", F.lit(k)) for k in range(2 * LEADERS)]
-            picks = [F.min_by(other, F.struct(-F.col("central"), h) if k % 2 else h) for k, h in enumerate(hashes)]
+            hashes = [F.xxhash64("digest", F.lit(k)) for k in range(LEADERS)]
+            picks = [F.min_by(other, F.struct(-F.col("central"), h)) for h in hashes]
             lead = rows.where(~small).groupBy("key").agg(F.array_distinct(F.array(*picks)).alias("x")).select("key", F.explode("x").alias("x"))
             lead = lead.unionByName(rows.where(small).select("key", other.alias("x")))
             rows = rows.where(small | (F.col("class") != F.col("main")))
@@ -228,9 +228,10 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")), "b")
         new = stored(both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a binary, b binary, similarity double"), "links")
         step += 1
-        found = found.unionByName(new)
+        nothing = new.isEmpty()
+        found = found if nothing else found.unionByName(new)
         if step > ROUNDS:
-            known = components(found)
+            known = known if nothing else components(found)
             break
     return nodes.select("digest", "least"), found, known
 
