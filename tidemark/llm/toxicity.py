@@ -60,7 +60,7 @@ class _Weights(dict):
         self.by_bucket = by_bucket
 
     def __missing__(self, word: str) -> float:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         w = self[word] = self.by_bucket.get(bucket(word), 0.0)
         return w
