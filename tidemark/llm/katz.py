@@ -38,7 +38,7 @@ BEGIN, END = 1, 2
 K, LEAST_COUNT = 5, 2
 #: Most words, and most pairs, that are treated as frequent; tokens per bucket of pairs; bytes of text per pack.
 HOT, LEAST_HOT = 65_536, 200_000
-BUCKET_TOKENS, PACK_BYTES = 4_000_000, 24 << 20
+BUCKET_TOKENS, PACK_BYTES = 4_000_000, 12 << 20
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 ODD = np.uint64(0x9E3779B97F4A7C15)
 PAIRS = "bucket int, pack long, h_ids binary, h_at binary, w_ids binary, w_at binary, extra binary, head binary"
@@ -92,6 +92,14 @@ def coded(x: np.ndarray) -> tuple[bytes, bytes]:
     return ids.tobytes(), at.astype("<u2" if len(ids) <= 65_536 else "<u4").tobytes()
 
 
+def coded_sorted(x: np.ndarray) -> tuple[bytes, bytes]:
+    """The same for a sorted array, without sorting it again."""
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    ids = x[new]
+    return ids.tobytes(), (np.cumsum(new) - 1).astype("<u2" if len(ids) <= 65_536 else "<u4").tobytes()
+
+
 def decoded(ids: bytes, at: bytes) -> np.ndarray:
     x = np.frombuffer(ids, np.uint64)
     return x[np.frombuffer(at, "<u2" if len(x) <= 65_536 else "<u4")]
@@ -117,7 +125,7 @@ def _packs(rows: list[dict]) -> pa.RecordBatch:
 
 
 def _split(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(bucket, kind="stable")
+    order = np.argsort(bucket.astype(np.uint16) if len(bucket) and bucket.max() < 65_536 else bucket, kind="stable")
     which, starts = np.unique(bucket[order], return_index=True)
     for b, i, j in zip(which.tolist(), starts, [*starts[1:], len(order)], strict=True):
         yield b, order[i:j]
@@ -283,7 +291,7 @@ def _ship(batches: Iterator[pa.RecordBatch], hot, buckets: int) -> Iterator[pa.R
             for b, k in _split(bucket_of(h[rest], mix[rest], hot_h, buckets)):
                 k = rest[k]
                 k = k[np.argsort(h[k], kind="stable")]
-                (hi, ha), (wi, wa) = coded(h[k]), coded(w[k])
+                (hi, ha), (wi, wa) = coded_sorted(h[k]), coded(w[k])
                 yield _packs([{"bucket": b, "pack": pack, "h_ids": hi, "h_at": ha, "w_ids": wi, "w_at": wa, "extra": doc[k].astype("<u2" if n <= 65_536 else "<u4").tobytes(), "head": n.to_bytes(4, "little")}])
 
 
@@ -318,7 +326,9 @@ def _meet(key: tuple, left: pa.Table, right: pa.Table, hot, numbers: dict[str, f
             more = np.where(pair >= 0, pair_v[pair] if len(keys) else 0.0, 0.0)
             sums = _doc_sums(doc, n, value[at] + more, base[at], known[at])
             used = np.flatnonzero(np.bincount(doc, minlength=n))
-            rows.append({"pack": r["pack"], "docs": used.astype("<u4").tobytes(), "sums": np.stack(sums)[:, used].tobytes(), "head": None})
+            short = "<u2" if n <= 65_536 else "<u4"
+            parts = (used.astype(short), sums[0][used], sums[1][used], sums[2][used].astype("<u4"))
+            rows.append({"pack": r["pack"], "docs": parts[0].tobytes(), "sums": b"".join(x.tobytes() for x in parts[1:]), "head": None})
     return pa.Table.from_pylist(rows, schema=pa.schema([("pack", pa.int64()), *((c, pa.binary()) for c in ("docs", "sums", "head"))]))
 
 
@@ -328,8 +338,9 @@ def _gather(key: tuple, group: pa.Table) -> pa.Table:
     total = np.frombuffer(head["sums"]).reshape(4, -1).copy()
     for r in rows:
         if r["head"] is None:
-            at = np.frombuffer(r["docs"], "<u4")
-            total[:3, at] += np.frombuffer(r["sums"]).reshape(3, -1)
+            at = np.frombuffer(r["docs"], "<u2" if total.shape[1] <= 65_536 else "<u4")
+            total[:2, at] += np.frombuffer(r["sums"], "<f8", 2 * len(at)).reshape(2, -1)
+            total[2, at] += np.frombuffer(r["sums"], "<u4", offset=16 * len(at))
     out = pa.ipc.open_stream(head["head"]).read_all()
     for name, x in (("n_tokens", total[3].astype(np.int64)), ("n_known", np.rint(total[2]).astype(np.int64)), ("base_score", total[1]), ("score", total[0])):
         out = out.append_column(name, pa.array(x))
