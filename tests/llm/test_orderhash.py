@@ -97,6 +97,49 @@ def test_many_near_copies_of_one_text_meet_in_one_class(spark):
     assert {r["class_id"] for r in O.classes(frame(spark, rows)).collect()} == {0}
 
 
+def branches(seed=0, count=25, copies=60):
+    """Copies of one text, and copies of some of the copies that are near to that one copy only."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(5000)]
+    origin = rng.choices(words, k=64)
+    out = [list(origin) for _ in range(copies)]
+    for text in out[1:]:
+        text[rng.randrange(2)] = rng.choice(words)
+    for _ in range(count):
+        near = list(origin)
+        near[-1] = rng.choice(words)
+        far = list(near)
+        far[8], far[0] = rng.choice(words), rng.choice(words)
+        out += [near, far]
+    rng.shuffle(out)
+    return [(i, " ".join(t)) for i, t in enumerate(out)]
+
+
+def candidates(rows):
+    """Classes by brute force over all pairs of texts that share a key."""
+    texts = sorted({t for _, t in rows})
+    with np.errstate(over="ignore"):
+        keys = [set(O.sketches(*O.shingles(*O.token_ids([t], O._Ids())))[0].tolist()) for t in texts]
+    seq = [labelled(t) for t in texts]
+    group = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if group[i] != group[j] and keys[i] & keys[j] and similarity(seq[i], seq[j]) >= 0.8:
+                group = [group[j] if g == group[i] else g for g in group]
+    of = {t: g for t, g in zip(texts, group, strict=True)}
+    least = {}
+    for i, t in rows:
+        least[of[t]] = min(least.get(of[t], i), i)
+    return sorted((i, least[of[t]]) for i, t in rows)
+
+
+def test_copies_of_copies_in_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(O, "BLOCK", 3000, raising=False)
+    rows = branches()
+    got = sorted((r["doc_id"], r["class_id"]) for r in O.classes(frame(spark, rows)).collect())
+    assert got == candidates(rows)
+
+
 def test_keep_one(spark):
     rows = corpus(3)
     d = frame(spark, rows)

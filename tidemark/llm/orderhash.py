@@ -4,8 +4,9 @@ A text is the sequence of its five-word shingles, each labelled with how often i
 before, so all are distinct.  Per table the few shingles with the least hashes are taken and kept in
 text order; their sequence is the table's key.  Texts sharing a key are candidates: each is compared
 with a leader of its bucket, the text that shares most keys with others.  Buckets that then still
-hold several classes are compared in full if they are small; in larger ones every text outside the
-main class is compared with a number of further leaders, chosen among the most central texts.  A pair counts as near if an alignment
+hold several classes are compared in full: small ones pair by pair; in larger ones every text outside
+the main class meets the whole bucket, block by block, and is aligned with what shares enough
+shingles and is of another class.  A pair counts as near if an alignment
 within a band around the diagonal matches m of its n and o shingles with m / (n + o - m) >= 0.8; as
 labelled shingles are distinct, the best alignment is a longest increasing run of match places.
 Classes are the connected components of verified pairs; equal texts are one node throughout.
@@ -32,8 +33,8 @@ from tidemark.llm.decontamination import _Ids, token_ids
 SHINGLE, SIMILAR = 5, 0.8
 #: Tables, and shingles whose order makes a table's key. A pair of similarity 0.8 shares no key with odds of 1 in 95,000.
 TABLES, ORDERED = 16, 3
-#: Rounds after the first, texts up to which a bucket is compared in full, and leaders of larger ones.
-ROUNDS, FULL, LEADERS = 1, 24, 14
+#: Rounds after the first, texts up to which a bucket is compared pair by pair, and shingles per block of larger ones.
+ROUNDS, FULL, BLOCK = 1, 24, 1 << 19
 SLICE_CHARS = 3 << 20
 #: Rows of 16 bytes that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -161,6 +162,60 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(good, pa.float64())], names=["a", "b", "similarity"]).filter(keep)
 
 
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    words = _Ids()
+    with np.errstate(over="ignore"):
+        for b in batches:
+            texts = b["text"].to_pylist()
+            for i, j in _slices(texts):
+                h, starts = shingles(*token_ids(texts[i:j], words))
+                held = pa.array([h[x:y].tobytes() for x, y in zip(starts[:-1], starts[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([b["digest"].slice(i, j - i), held], names=["digest", "h"])
+
+
+def _across(key: tuple, group: pa.Table) -> pa.Table:
+    """Near pairs of two classes, of a block's outside texts with its members; pairs that join no further classes are left out."""
+    outside = group["outside"].to_numpy()
+    at, to = np.flatnonzero(outside), np.flatnonzero(~outside)
+    digests, held = group["digest"].to_pylist(), [np.frombuffer(x, np.uint64) for x in group["h"].to_pylist()]
+    number: dict[bytes, int] = {}
+    kind = np.array([number.setdefault(c, len(number)) for c in group["class"].to_pylist()], np.int64)
+    sizes = np.array([len(held[j]) for j in to], np.int64)
+    flat = np.concatenate([np.zeros(0, np.uint64), *(held[j] for j in to)])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], np.repeat(np.arange(len(to)), sizes)[order]
+    rows: list[tuple[bytes, bytes, float]] = []
+    for i in at:
+        a = held[i]
+        first = np.searchsorted(flat, a)
+        times = np.searchsorted(flat, a, "right") - first
+        if np.count_nonzero(times) < SIMILAR * len(a) - 1e-6:  # a near text shares this many
+            continue
+        place = np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
+        common = np.bincount(owner[place], minlength=len(to))
+        enough = common * (1 + SIMILAR) >= SIMILAR * (len(a) + sizes) - 1e-6
+        rest = np.flatnonzero(enough & (kind[to] != kind[i]))
+        for j in to[rest[np.argsort(-common[rest], kind="stable")]]:
+            if kind[j] != kind[i] and (near := aligned(a, held[j])) >= SIMILAR:
+                rows.append((min(digests[i], digests[j]), max(digests[i], digests[j]), near))
+                kind[kind == kind[j]] = kind[i]
+    a, b, near = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary()), "similarity": pa.array(near, pa.float64())})
+
+
+def across(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between the classes of large buckets: all that is outside the main class meets all members, in blocks of about ``BLOCK`` shingles."""
+    weight, outside = F.col("n") + 64, F.col("class") != F.col("main")
+    count = lambda w: F.ceil(F.sum(w) / BLOCK).cast("int")
+    rows = rows.join(rows.groupBy("key").agg(count(weight).alias("wide"), count(F.when(outside, weight)).alias("deep")), "key")
+    own = lambda n, k: F.pmod(F.xxhash64("digest", F.lit(k)), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = rows.where(outside).select("key", "digest", "class", F.lit(True).alias("outside"), own("deep", 1).alias("i"), each("wide").alias("j"))
+    right = rows.select("key", "digest", "class", F.lit(False).alias("outside"), own("wide", 2).alias("j"), each("deep").alias("i"))
+    held = texts.join(rows.select("digest").distinct(), "digest", "left_semi").select("digest", "text").mapInArrow(_shingled, "digest binary, h binary")
+    return left.unionByName(right).join(held, "digest").groupBy("key", "i", "j").applyInArrow(_across, "a binary, b binary, similarity double")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, class): each node of the links and the least node it is connected to."""
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -211,13 +266,11 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
             rows = stored(rows.join(main.where(F.col("all") > F.col("most")), "key"), "split")
             if rows.isEmpty():
                 break
-            # whole buckets if they are small; else what is outside the main class against leaders, the central ones
+            # whole buckets: pair by pair if they are small, else in blocks
             small = F.col("all") <= FULL
-            hashes = [F.xxhash64("digest", F.lit(k)) for k in range(LEADERS)]
-            picks = [F.min_by(other, F.struct(-F.col("central"), h)) for h in hashes]
-            lead = rows.where(~small).groupBy("key").agg(F.array_distinct(F.array(*picks)).alias("x")).select("key", F.explode("x").alias("x"))
-            lead = lead.unionByName(rows.where(small).select("key", other.alias("x")))
-            rows = rows.where(small | (F.col("class") != F.col("main")))
+            large = rows.where(~small)
+            rows = rows.where(small)
+            lead = rows.select("key", other.alias("x"))
         else:
             rows = entries.withColumn("class", F.col("digest"))
             lead = rows.groupBy("key").agg(F.min_by(other, F.struct(-F.col("central"), F.xxhash64("digest"))).alias("x"))
@@ -227,6 +280,8 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         tested = pairs if tested is None else tested.unionByName(pairs)
         both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")), "b")
         new = stored(both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a binary, b binary, similarity double"), "links")
+        if step and not large.isEmpty():
+            new = new.unionByName(stored(across(large, texts), "across"))
         step += 1
         nothing = new.isEmpty()
         found = found if nothing else found.unionByName(new)
