@@ -95,3 +95,15 @@ def test_nothing_to_learn_from(spark):
     got = {r["doc_id"]: r for r in katz.score(d, katz.train(d.limit(0))).collect()}
     assert (got[0]["n_tokens"], got[0]["n_known"], got[0]["score"]) == (3, 0, 0.0)
     assert katz.score(d.limit(0), katz.train(d)).count() == 0
+
+
+def test_pairs_seen_once_are_in_the_model(spark):
+    texts = ["a b", "a c", "d b", "a b"]
+    model = katz.train(frame(spark, texts))
+    ids = katz._Ids()
+    held = {(r["h"], r["w"]): r["b"] for r in model.table.where(f"w <> {katz.BEGIN}").collect()}
+    signed = lambda w: ids[w] - (1 << 64) if ids[w] >> 63 else ids[w]
+    a, b, c, d = map(signed, (b"a", b"b", b"c", b"d"))
+    once = {(a, c), (d, b), (c, katz.END), (katz.BEGIN, d)}
+    assert {k for k, n in held.items() if n == 1} == once
+    assert {k for k, n in held.items() if n > 1} == {(katz.BEGIN, a), (a, b), (b, katz.END)}

@@ -3,9 +3,8 @@
 A bigram model: counts under Good-Turing discounts, and per context a backoff weight that makes the
 probabilities of all words, known or not, sum to exactly one.  A token is scored recursively: its
 bigram if the table has it, else the context's weight times the word's own probability, else
-(an unknown word) the mass that the discounted known words leave.  Bigrams seen once in training
-take the backoff path, after Katz's own cut-off (``LEAST_COUNT``); their counts still enter the
-discounts and the context totals.
+(an unknown word) the mass that the discounted known words leave.  Every bigram seen in training,
+once or more, is in the table.
 
 Words are known by 64-bit hashes.  Texts are read three times: to count words, to count pairs, to
 score.  Pairs travel by the hash of their context, dictionary-coded in large packs, so a token costs
@@ -34,8 +33,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import chunks, release_shuffles, stored, utf8
 
 BEGIN, END = 1, 2
-#: Counts up to K are discounted; pairs below LEAST_COUNT back off.
-K, LEAST_COUNT = 5, 2
+#: Counts up to K are discounted; pairs below LEAST_COUNT would back off: at 1 all counted pairs are in the model.
+K, LEAST_COUNT = 5, 1
 #: Most words, and most pairs, that are treated as frequent; tokens per bucket of pairs; bytes of text per pack.
 HOT, LEAST_HOT = 65_536, 200_000
 BUCKET_TOKENS, PACK_BYTES = 4_000_000, 12 << 20
