@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from tidemark.llm import orderhash as O
 
@@ -140,6 +141,14 @@ def test_copies_of_copies_in_large_buckets(spark, monkeypatch):
     assert got == candidates(rows)
 
 
+@pytest.mark.parametrize("full", [1, 1000])
+def test_same_classes_whatever_counts_as_a_large_bucket(spark, monkeypatch, full):
+    monkeypatch.setattr(O, "FULL", full)
+    rows = branches(1, 8, 10)
+    got = sorted((r["doc_id"], r["class_id"]) for r in O.classes(frame(spark, rows)).collect())
+    assert got == candidates(rows)
+
+
 def test_keep_one(spark):
     rows = corpus(3)
     d = frame(spark, rows)

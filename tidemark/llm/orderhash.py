@@ -33,8 +33,8 @@ from tidemark.llm.decontamination import _Ids, token_ids
 SHINGLE, SIMILAR = 5, 0.8
 #: Tables, and shingles whose order makes a table's key. A pair of similarity 0.8 shares no key with odds of 1 in 95,000.
 TABLES, ORDERED = 16, 3
-#: Rounds after the first, texts up to which a bucket is compared pair by pair, and shingles per block of larger ones.
-ROUNDS, FULL, BLOCK = 1, 24, 1 << 19
+#: Texts up to which a bucket of several classes is compared pair by pair, and shingles per block of larger ones.
+FULL, BLOCK = 24, 1 << 19
 SLICE_CHARS = 3 << 20
 #: Rows of 16 bytes that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
@@ -240,6 +240,17 @@ def with_digest(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("digest"))
 
 
+def _pairs(rows: DataFrame, lead: DataFrame) -> DataFrame:
+    """Texts of a bucket with its leaders, where the classes differ and the lengths allow a near pair."""
+    met = rows.join(lead, "key").where((F.col("class") != F.col("x.c")) & (F.least("n", "x.o") >= SIMILAR * F.greatest("n", "x.o")))
+    return met.select(F.least("digest", F.col("x.d")).alias("a"), F.greatest("digest", F.col("x.d")).alias("b")).distinct()
+
+
+def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")), "b")
+    return both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a binary, b binary, similarity double")
+
+
 def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Distinct texts (digest, least doc_id), verified near pairs (a, b, similarity) of digests, and their components."""
     spark = docs.sparkSession
@@ -255,40 +266,27 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     entries = stored(entries.join(central, "digest"), "entries")
     wanted = _small(stored(entries.select("digest").distinct(), "wanted"))
     texts = stored(given.select("digest", "text").join(wanted, "digest").groupBy("digest").agg(F.first("text").alias("text")), "texts")
-    found = stored(spark.createDataFrame([], "a binary, b binary, similarity double"), "links")
-    tested, step = None, 0
-    while True:
-        other = F.struct(F.col("digest").alias("d"), F.col("n").alias("o"), F.col("class").alias("c"))
-        if step:
-            known = components(found)
-            rows = entries.join(known.withColumnRenamed("node", "digest"), "digest", "left").withColumn("class", F.coalesce("class", "digest"))
-            main = rows.groupBy("key", "class").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("class", "m").alias("main"), F.sum("m").alias("all"), F.max("m").alias("most"))
-            rows = stored(rows.join(main.where(F.col("all") > F.col("most")), "key"), "split")
-            if rows.isEmpty():
-                break
-            # whole buckets: pair by pair if they are small, else in blocks
-            small = F.col("all") <= FULL
-            large = rows.where(~small)
-            rows = rows.where(small)
-            lead = rows.select("key", other.alias("x"))
-        else:
-            rows = entries.withColumn("class", F.col("digest"))
-            lead = rows.groupBy("key").agg(F.min_by(other, F.struct(-F.col("central"), F.xxhash64("digest"))).alias("x"))
-        met = rows.join(lead, "key").where((F.col("class") != F.col("x.c")) & (F.least("n", "x.o") >= SIMILAR * F.greatest("n", "x.o")))
-        pairs = met.select(F.least("digest", F.col("x.d")).alias("a"), F.greatest("digest", F.col("x.d")).alias("b")).distinct()
-        pairs = stored(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        both = pairs.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("digest").alias("b"), F.col("text").alias("tb")), "b")
-        new = stored(both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a binary, b binary, similarity double"), "links")
-        if step and not large.isEmpty():
-            new = new.unionByName(stored(across(large, texts), "across"))
-        step += 1
-        nothing = new.isEmpty()
-        found = found if nothing else found.unionByName(new)
-        if step > ROUNDS:
-            known = known if nothing else components(found)
-            break
-    return nodes.select("digest", "least"), found, known
+    other = F.struct(F.col("digest").alias("d"), F.col("n").alias("o"), F.col("class").alias("c"))
+    rows = entries.withColumn("class", F.col("digest"))
+    lead = rows.groupBy("key").agg(F.min_by(other, F.struct(-F.col("central"), F.xxhash64("digest"))).alias("x"))
+    tested = stored(_pairs(rows, lead), "pairs")
+    found = stored(_near(tested, texts), "links")
+    known = components(found)
+    rows = entries.join(known.withColumnRenamed("node", "digest"), "digest", "left").withColumn("class", F.coalesce("class", "digest"))
+    main = rows.groupBy("key", "class").agg(F.count("*").alias("m")).groupBy("key").agg(F.max_by("class", "m").alias("main"), F.sum("m").alias("all"), F.max("m").alias("most"))
+    rows = stored(rows.join(main.where(F.col("all") > F.col("most")), "key"), "split")
+    # what two classes of a bucket may still have in common: after this every pair that shares a key is tested or of one class
+    more = []
+    small, large = rows.where(F.col("all") <= FULL), rows.where(F.col("all") > FULL)
+    if not small.isEmpty():
+        pairs = stored(_pairs(small, small.select("key", other.alias("x"))).join(tested, ["a", "b"], "left_anti"), "pairs")
+        more.append(stored(_near(pairs, texts), "links"))
+    if not large.isEmpty():
+        more.append(stored(across(large, texts), "across"))
+    more = [x for x in more if not x.isEmpty()]
+    for x in more:
+        found = found.unionByName(x)
+    return nodes.select("digest", "least"), found, components(found) if more else known
 
 
 def classes(docs: DataFrame) -> DataFrame:
