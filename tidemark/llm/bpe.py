@@ -1,36 +1,49 @@
 """BPE encoding and decoding by prefix-sharing trie traversal.
 
 Texts are cut at blanks; each distinct chunk of a slice of the input is normalised and cut into
-words once.  The distinct words, sorted, are a trie in depth-first order: a word keeps the states of
-the prefix it shares with the word before it.  The state of a prefix is the last token of its
+words once.  The distinct words that no recent slice held, sorted, are a trie in depth-first order: a
+word keeps the states of the prefix it shares with the word before it.  The state of a prefix is the last token of its
 encoding, and follows from the states of shorter prefixes: the last token is the one suffix that is
 a token and may stand after the last token of what is left.  Whether token b may stand after token
 a is a question about merge ranks only (``Merges.adjacent``).
 
 Defined results: null and empty texts have no tokens; texts of any length are encoded whole; added
-tokens of the vocabulary file are found in the raw text; repeated rows are encoded each.
+tokens of the vocabulary file are found in the raw text; repeated rows are encoded each; an empty
+table gives an empty result; of the input's columns only text and the kept ones play a part, and a
+kept column may not be named ids or decoded.
+
+The vocabulary file must be of this kind: NFC, one blank for blanks and lower case as normaliser,
+``WORDS`` and byte letters as words, ``</w>`` at the end of words; ``Encoder`` refuses others.
 """
 
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import re
 from collections.abc import Iterator
-from struct import pack
-from unicodedata import is_normalized
+from struct import Struct
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks
+from tidemark.llm.common import chunks, lean, small_batches
 
-#: Bytes of text whose distinct words share one trie, and the chunks remembered at most.
+#: Bytes of text whose distinct words share one trie, and words of a generation: the words met last and the generation before are remembered.
 SLICE_BYTES = 4 << 20
-REMEMBERED = 160_000
+GENERATION = 200_000
 END = "</w>"
+#: In this and the lower blocks letters, digits, lower case and normal form are the same in all versions of the standard.
+STABLE = "\u0250"
+#: Marks that often end a chunk, each a word of its own there.
+MARKS = frozenset(".,;:!?")
+#: What Python takes for a blank and the standard does not.
+ODD_BLANKS = "\x1c\x1d\x1e\x1f"
 #: The split pattern and the printable stand-ins for bytes of byte-level vocabularies.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -116,7 +129,7 @@ class Merges:
         """Token ids of sorted distinct words, each without its end mark."""
         state = [-1]  # last token of the prefix of each length of the word at hand
         before = ""
-        inner_ends, last_ends, length = self.inner_ends, self.last_ends, self.length
+        find_inner, find_last, length = self.inner_ends.get, self.last_ends.get, self.length
         for w in words:
             n, same = len(w), 0
             most = min(n, len(before), len(state) - 1)
@@ -125,8 +138,8 @@ class Merges:
             del state[same + 1 :]
             before = w
             for d in range(len(state), n):
-                state.append(self._last(w, d, state, inner_ends))
-            t = self._last(w, n, state, last_ends)
+                state.append(self._last(w, d, state, find_inner))
+            t = self._last(w, n, state, find_last)
             ids, d = [t], n - length[t]
             while d:
                 t = state[d]
@@ -135,16 +148,17 @@ class Merges:
             ids.reverse()
             yield ids
 
-    def _last(self, w: str, d: int, state: list[int], ends: dict[str, int]) -> int:
+    def _last(self, w: str, d: int, state: list[int], find) -> int:
         """Last token of the first d letters: of the tokens that end there, the one that may stand after what is left."""
-        fits, i, find = [], d - 1, ends.get
+        fits, i = [], d - 1
         while i >= 0 and (t := find(w[i:d])) is not None:
             if t >= 0:
-                fits.append((i, t))
+                fits.append(t)
             i -= 1
-        known = self.known
+        known, length = self.known, self.length
         while fits:
-            i, t = fits.pop()
+            t = fits.pop()
+            i = d - length[t]
             if i == 0:
                 return t
             ok = known.get(state[i] << 20 | t)
@@ -154,77 +168,150 @@ class Merges:
 
 
 class Encoder:
-    """Chunk-wise encoder with a bounded memory of chunks."""
+    """Slice-wise encoder with a bounded memory of words: the words of two generations, those in use kept on."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        steps = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
+        if steps != ["NFC", "Replace", "Lowercase"] or spec["model"].get("end_of_word_suffix") != END or WORDS.pattern not in json.dumps(spec["pre_tokenizer"]).replace("\\\\", "\\"):
+            raise ValueError(f"{path} holds a vocabulary of another kind")
         self.lib = Tokenizer.from_file(path)
         self.merges = Merges(spec["model"]["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]])
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        if any(t.isalpha() for t in self.added):
+            raise ValueError(f"{path} holds an added token of letters only")
         self.cut = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
         self.names = {t: s for s, t in spec["model"]["vocab"].items()} | {t: s for s, t in self.added.items()}
-        letters = byte_letters()
-        self.shown = _Shown(letters)
-        self.ids: dict[str, bytes] = {"": b""}
-        self.decoded: dict[str, str] = {"": ""}
-
-    def words(self, normal: str) -> list[str]:
-        """Words of a normalised chunk in byte letters."""
-        if normal.isascii() and normal.isprintable():
-            return WORDS.findall(normal)
-        if normal and max(normal) < "ɐ" and normal.isprintable():  # letters and digits of these blocks are the same in all versions of the standard
-            shown = self.shown.__getitem__
-            return [x if x.isascii() else "".join(map(shown, x)) for x in WORDS.findall(normal)]
-        return [x for x, _ in self.lib.pre_tokenizer.pre_tokenize_str(normal)]
-
-    def learn(self, chunks: set[str]) -> None:
-        """Encodes chunks that are new, all their distinct words in one pass over the trie."""
-        if len(self.ids) > REMEMBERED:
-            self.ids, self.decoded = {"": b""}, {"": ""}
-        new = [c for c in chunks if c not in self.ids]
-        parts: list[tuple[str, list[str | int]]] = []
-        # in these blocks lower case is the same in all versions of the standard, letter by letter
-        plain = [c for c in new if c.isprintable() and "<|" not in c and (c.isascii() or max(c) < "ɐ" and is_normalized("NFC", c))]
-        parts += [(c, self.words(c.lower())) for c in plain]
-        done = set(plain)
-        for c in new:
-            if c not in done:
-                found: list[str | int] = []
-                for i, x in enumerate(self.cut.split(c) if self.cut else [c]):
-                    if i % 2:
-                        found.append(self.added[x])
-                    elif x:
-                        found += self.words(self.lib.normalizer.normalize_str(x))
-                parts.append((c, found))
-        words = sorted({w for _, ws in parts for w in ws if isinstance(w, str)})
-        coded = dict(zip(words, self.merges.encode_sorted(words), strict=True))
-        names = self.names
-        for c, ws in parts:
-            ids = [t for w in ws for t in (coded[w] if isinstance(w, str) else (w,))]
-            self.ids[c] = pack(f"<{len(ids)}I", *ids)
-            self.decoded[c] = " ".join([names[t] for t in ids])
+        self.shown = _Shown(byte_letters())
+        self.packs = [Struct(f"<{n}I").pack for n in range(64)]
+        self.young: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
+
+    def words(self, chunk: str) -> list[str | int]:
+        """Words of a chunk, and ids of added tokens.
+
+        Words that the library has cut are in byte letters after a zero character, which no other word holds.
+        """
+        if chunk.isprintable() and (chunk.isascii() or max(chunk) < STABLE) and not (self.cut and self.cut.search(chunk)):
+            low = chunk.lower()
+            return WORDS.findall(low) if low.isascii() or max(low) < STABLE else self._by_library(chunk)
+        found: list[str | int] = []
+        for i, x in enumerate(self.cut.split(chunk) if self.cut else [chunk]):
+            if i % 2:
+                found.append(self.added[x])
+            elif x:
+                found += self._by_library(x)
+        return found
+
+    def _by_library(self, raw: str) -> list[str]:
+        return ["\0" + x for x, _ in self.lib.pre_tokenizer.pre_tokenize_str(self.lib.normalizer.normalize_str(raw))]
+
+    def _packed(self, ids: list[int]) -> tuple[bytes, str]:
+        n = len(ids)
+        return (self.packs[n] if n < len(self.packs) else Struct(f"<{n}I").pack)(*ids), " ".join([self.names[t] for t in ids])
+
+    def learn(self, words: set[str]) -> None:
+        """Encodes words that are new, all in one pass over the trie."""
+        young, old, shown = self.young, self.old, self.shown.__getitem__
+        new = []
+        for w in words:
+            if w not in young:
+                held = old.get(w)
+                if held is None:
+                    new.append((w if w.isascii() and w[0] != "\0" else w[1:] if w[0] == "\0" else "".join(map(shown, w)), w))
+                else:
+                    young[w] = held
+        new.sort()
+        forms = [x for i, (x, _) in enumerate(new) if not i or x != new[i - 1][0]]
+        coded = self.merges.encode_sorted(forms)
+        last = packed = None
+        for x, w in new:
+            if x != last:
+                last, packed = x, self._packed(next(coded))
+            young[w] = packed
+
+    def table(self, chunks: list[str]) -> tuple[list[bytes], list[str]]:
+        """Ids and decoded text of each of some distinct chunks."""
+        plain, marked, others, words = [], [], [], set(MARKS)
+        for k, c in enumerate(chunks):
+            low = c.lower()
+            if c.isascii() or max(low) < STABLE > max(c):
+                if low.isalpha():
+                    plain.append((k, low))
+                    continue
+                if low[-1:] in MARKS and (w := low[:-1]).isalpha() and not (self.cut and self.cut.search(c)):
+                    marked.append((k, w, low[-1]))
+                    continue
+            others.append((k, self.words(c)))
+        words.update([w for _, w in plain])
+        words.update([w for _, w, _ in marked])
+        for _, ws in others:
+            words.update([w for w in ws if w.__class__ is str])
+        self.learn(words)
+        get = self.young.__getitem__
+        ids, decoded = [b""] * len(chunks), [""] * len(chunks)
+        for k, w in plain:
+            ids[k], decoded[k] = get(w)
+        marks = {m: (get(m)[0], " " + get(m)[1]) for m in MARKS}
+        for k, w, m in marked:
+            x, y = get(w)
+            mx, my = marks[m]
+            ids[k], decoded[k] = x + mx, y + my
+        for k, ws in others:
+            both = [get(w) if w.__class__ is str else self._packed([w]) for w in ws]
+            ids[k], decoded[k] = b"".join([x for x, _ in both]), " ".join([y for _, y in both])
+        if len(self.young) > GENERATION:
+            self.young, self.old = {}, self.young
+        return ids, decoded
+
+    def arrays(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Ids (as bytes) and decoded text of each text; only distinct chunks become Python objects."""
+        odd = any(pc.any(pc.match_substring(texts, c)).as_py() for c in ODD_BLANKS)
+        if odd:
+            cut = pa.array([re.sub("[\n\t\r]", " ", x).split(" ") for x in texts.to_pylist()], pa.list_(pa.string()))
+        else:
+            cut = pc.utf8_split_whitespace(texts)
+        offsets = cut.offsets.to_numpy()
+        coded = cut.flatten().dictionary_encode()
+        at = coded.indices.to_numpy()
+        offsets = offsets - offsets[0]
+        collecting = gc.isenabled()
+        gc.disable()  # many small objects and no cycles among them
+        try:
+            ids, decoded = self.table(coded.dictionary.to_pylist())
+        finally:
+            if collecting:
+                gc.enable()
+        ids, decoded = pa.array(ids, pa.binary()), pa.array(decoded, pa.string())
+        some = pc.binary_length(ids).to_numpy() > 0
+        if not some.all():  # chunks without tokens, the empty one above all
+            keep = some[at]
+            offsets, at = np.append(0, np.cumsum(keep))[offsets], at[keep]
+        offsets, at = pa.array(offsets.astype(np.int32)), pa.array(at)
+        joined = lambda x, by: pc.binary_join(pa.ListArray.from_arrays(offsets, x.take(at)), by)
+        return joined(ids, b""), joined(decoded, " ")
 
     def run(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
-        cut = [x.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for x in texts]
-        self.learn(set().union(*cut))
-        ids, decoded = self.ids.__getitem__, self.decoded.__getitem__
-        return [b"".join(map(ids, c)) for c in cut], [" ".join(filter(None, map(decoded, c))) for c in cut]
+        ids, decoded = self.arrays(pa.array(texts, pa.string()))
+        return ids.to_pylist(), decoded.to_pylist()
 
 
+@lean
 def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     coder = None
     for t in chunks(batches, SLICE_BYTES):
         coder = coder or Encoder(path)
-        ids, decoded = coder.run([x or "" for x in t["text"].to_pylist()])
-        kept = t.drop(["text"]).append_column("ids", pa.array(ids, pa.binary())).append_column("decoded", pa.array(decoded, pa.string()))
-        yield from kept.combine_chunks().to_batches()
+        t = t.combine_chunks()
+        ids, decoded = coder.arrays(pc.fill_null(t["text"].combine_chunks(), ""))
+        yield from t.drop(["text"]).append_column("ids", ids).append_column("decoded", decoded).to_batches()
 
 
 def encode_decode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns, ids (little-endian unsigned 32-bit integers) and the decoded text of each row."""
+    small_batches(docs.sparkSession)
     given = docs.select(*keep, "text")
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
     return given.mapInArrow(functools.partial(_encode, path=path), f"{types}, ids binary, decoded string")

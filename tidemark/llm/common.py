@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -46,8 +49,58 @@ def release_shuffles(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Bytes of an Arrow batch on its way to a Python worker, beside Spark's limit of rows, where the session names none.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, so that long texts don't make large batches."""
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Returns this worker's free memory to the system; Spark's Python workers live on from stage to stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(f: Callable) -> Callable:
+    """A function from batches to batches that gives its memory back when its task ends."""
+
+    @functools.wraps(f)
+    def run(batches: Iterator[pa.RecordBatch], *args, **kwargs) -> Iterator[pa.RecordBatch]:
+        yield from f(batches, *args, **kwargs)
+        give_back()
+
+    return run
+
+
+def filtered(df: DataFrame, keeps: Callable) -> DataFrame:
+    """The rows for which ``keeps(texts)`` is true, with all their columns; each row travels once.
+
+    ``keeps`` gets an iterator of lists of texts and yields a list of booleans for each.
+    """
+    small_batches(df.sparkSession)
+    at = [c.lower() for c in df.columns].index("text")
+    return df.mapInArrow(functools.partial(_filtered, keeps=keeps, at=at), df.schema)
+
+
+@lean
+def _filtered(batches: Iterator[pa.RecordBatch], keeps: Callable, at: int) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
+
+    def texts() -> Iterator[list[str | None]]:
+        for b in batches:
+            held.append(b)
+            yield b.column(at).to_pylist()
+
+    for stay in keeps(texts()):
+        yield held.pop().filter(pa.array(stay, pa.bool_()))
 
 
 def utf8(column: pa.Array) -> list[bytes]:
