@@ -57,9 +57,66 @@ def test_labels_with_nulls_repeats_and_strangers(spark):
     docs, labels = corpus(40)
     odd = [(None, 1, 1, ""), (5, None, None, ""), (999, 1, 1, ""), (0, 1, 0, ""), (0, 1, 1, "")]
     d, lab = frames(spark, docs + [docs[3], (None, None, None, None, None)], labels + odd)
-    rows, counts = toxicity.sample(d, lab)
-    assert counts == {0: 30, 1: 10}
-    assert rows.count() == 41  # the repeated document is there twice
+    rows = toxicity.sample(d, lab).collect()
+    assert len({r["id"] for r in rows if r["toxic"] == 0}) == 30 and len({r["id"] for r in rows if r["toxic"] == 1}) == 10
+    assert len(rows) == 41  # the repeated document is there twice
+
+
+def test_sample_is_bounded_in_bytes(spark, monkeypatch):
+    docs, labels = corpus(40)
+    d, lab = frames(spark, docs + [(40, "w " * 3000, "fr", "x", 0.5)], labels + [(40, 1, 1, "")])
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 2000)
+    monkeypatch.setattr(toxicity, "LONGEST", 5000)
+    rows = toxicity.sample(d, lab).collect()
+    assert 40 not in {r["id"] for r in rows} and {r["toxic"] for r in rows} == {0, 1}
+    for c in (0, 1):
+        assert 0 < sum(len(r["text"].encode()) for r in rows if r["toxic"] == c) <= 1000
+
+
+def test_slope_of_the_fit_by_differences():
+    docs, labels = corpus(60)
+    bags = toxicity.Bags((t[2], d[1]) for d, t in zip(docs, labels, strict=True))
+    rng = np.random.default_rng(3)
+    w, bias = rng.normal(0, 0.3, len(bags.held)), -2.0
+    _, slope = bags.loss_and_slope(w, bias)
+    by_hand = -sum(
+        wt * (np.log(1 - q) if t else np.log(q))
+        for (_, text, *_), (_, _, t, _), wt in zip(docs, labels, bags.weight, strict=True)
+        for q in [none(text, dict(zip(bags.held.tolist(), w, strict=True)), bias)]
+    )
+    assert np.isclose(bags.loss_and_slope(w, bias)[0], by_hand)
+    for k in [*rng.choice(len(w), 20, replace=False), len(w)]:
+        step = np.zeros(len(w) + 1)
+        step[k] = 1e-5
+        up, down = (bags.loss_and_slope(w + s * step[:-1], bias + s * step[-1])[0] for s in (1, -1))
+        assert np.isclose((up - down) / 2e-5, slope[k], rtol=1e-4, atol=1e-9)
+
+
+def none(text, weights, bias):
+    """Probability that no sentence of a text is toxic."""
+    out = 1.0
+    for s in text.lower().replace("\n", ".").split("."):
+        words = set(s.split())
+        if words:
+            z = bias + sum(weights.get(f, 0.0) for w in words for f in toxicity.features(w))
+            out *= 1 - 1 / (1 + np.exp(-z))
+    return out
+
+
+def test_forms_of_a_stem_that_training_never_saw(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(400)]
+    docs, labels = [], []
+    for i in range(900):
+        text = rng.choices(words, k=30)
+        if i % 4 == 0:
+            text[5:5] = [f"grombel{rng.randrange(10_000)}", f"grombel{rng.randrange(10_000)}"]
+        docs.append((i, " ".join(text) + ".", "de", "x", 0.5))
+        labels.append((i, 1, int(i % 4 == 0), ""))
+    d, lab = frames(spark, docs, labels)
+    model = toxicity.train(d, lab, crc_mod("id", 3) != 1)
+    held = [r for r in toxicity.score(d, model).where(crc_mod("doc_id", 3) == 1).collect()]
+    assert np.mean([(r["score"] >= 0.7) == (r["doc_id"] % 4 == 0) for r in held]) > 0.97
 
 
 def test_one_class_or_nothing_scores_zero(spark):
