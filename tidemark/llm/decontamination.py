@@ -10,9 +10,11 @@ of four fifths equal tokens has such a window.
 The benchmark is dealt to blocks by its size in bytes; a block (``BLOCK_BYTES`` of text on average)
 is what a task holds at a time, so a benchmark of any size is served, in more passes.
 
-Defined results: null and empty texts hit nothing; benchmark items of 5 to 7 tokens must occur
-whole and unchanged, shorter ones are never looked for; equal items are reported each; repeated
-rows are judged each; ``drop_contaminated`` keeps all columns, whatever their names.
+Defined results: null and empty texts hit nothing; texts and items of any length are compared whole;
+benchmark items of 5 to 7 tokens must occur whole and unchanged; shorter ones (``SHORTEST``) are no
+evidence and not looked for; equal items are reported each, items without id with a null id; ids of
+any type stay as they are; repeated rows are judged each; an empty benchmark hits nothing, an empty
+table gives an empty result; ``drop_contaminated`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,16 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import filtered, lean, small_batches, stored
 
 MASKS = ("111011", "11001011", "11111")
 #: Equal tokens that one other token may stand against: 4 for a share of four fifths.
 SHARE_ODDS = 4
 LEAST_TOKENS, LEAST_SHARE, SHORTEST = 13, SHARE_ODDS / (SHARE_ODDS + 1), 5
 BLOCK_BYTES = 4 << 20
-SLICE_TOKENS = 2_000_000
+SLICE_CHARS = 3 << 20
 WORD = re.compile(r"\w+")
-HIT = "array<struct<item_id:bigint,start:int,tokens:int,matched:int>>"
 ODD = np.uint64(0x9E3779B97F4A7C15)
 BITS = 22
 
@@ -88,9 +89,9 @@ def within(starts: np.ndarray, length: int) -> np.ndarray:
 class Block:
     """Hashes of some benchmark items, sorted, with a bit table in front."""
 
-    def __init__(self, item_ids: list[int], texts: list[str | None]):
+    def __init__(self, item_ids: list, texts: list[str | None]):
         with np.errstate(over="ignore"):
-            self.item_ids = np.array(item_ids, np.int64)
+            self.item_ids = item_ids
             self.ids, self.starts = token_ids(texts, _Ids())
             length = np.diff(self.starts)
             self.item_of = np.repeat(np.arange(len(length)), length)
@@ -150,47 +151,65 @@ class Block:
         return (lo - begin + start, stop - start, got) if got >= need else None
 
 
+def _searched(texts: list[str | None], words: _Ids, block: Block) -> Iterator[tuple[int, int, int, int, int]]:
+    """The verified overlaps of some texts, slice by slice."""
+    first = 0
+    while first < len(texts):
+        last, size = first, 0
+        while last < len(texts) and (last == first or size + len(texts[last] or "") < SLICE_CHARS):
+            size += len(texts[last] or "")
+            last += 1
+        for t, *hit in block.hits(*token_ids(texts[first:last], words)):
+            yield first + t, *hit
+        first = last
+
+
+@lean
 def _find(batches: Iterator[pa.RecordBatch], block) -> Iterator[pa.RecordBatch]:
     words, b = _Ids(), block.value
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("tokens", pa.int32()), ("matched", pa.int32())]))
     with np.errstate(over="ignore"):
         for batch in batches:
-            texts = batch.column(batch.num_columns - 2).to_pylist()
             hits = [list(x) if x else [] for x in batch.column(batch.num_columns - 1).to_pylist()]
-            first = 0
-            while first < len(texts):
-                last, size = first, 0
-                while last < len(texts) and (last == first or size + len(texts[last] or "") < 4 * SLICE_TOKENS):
-                    size += len(texts[last] or "")
-                    last += 1
-                ids, starts = token_ids(texts[first:last], words)
-                for t, item, at, n, equal in b.hits(ids, starts):
-                    hits[first + t].append({"item_id": int(b.item_ids[item]), "start": at, "tokens": n, "matched": equal})
-                first = last
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hits, kind)], names=batch.schema.names)
-
-
-def with_hits(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """The kept columns, text, and hits: the verified overlaps with benchmark items."""
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).where("item_id is not null")
+            for t, item, at, n, equal in _searched(batch["text"].to_pylist(), words, b):
+                hits[t].append({"item_id": b.item_ids[item], "start": at, "tokens": n, "matched": equal})
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hits, batch.schema.types[-1])], names=batch.schema.names)
+
+
+def _clean(texts: Iterator[list[str | None]], block) -> Iterator[list[bool]]:
+    words, b = _Ids(), block.value
+    for part in texts:
+        with np.errstate(over="ignore"):
+            hit = {t for t, *_ in _searched(part, words, b)}
+        yield [t not in hit for t in range(len(part))]
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[tuple[int, object]]:
+    """Blocks of the benchmark, broadcast, and how many are still to come; a block is released when the next one is asked for."""
+    spark = benchmark.sparkSession
+    items = benchmark.select("item_id", F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_BYTES))
-    rows = docs.select(*keep, "text", F.array().cast(HIT).alias("hits"))
-    schema = rows.schema
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).orderBy("item_id").collect()  # BLOCK_BYTES on average
+    n = max(1, -(-total // BLOCK_BYTES))
+    for k in range(n):
+        part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).collect()  # BLOCK_BYTES on average
+        part.sort(key=lambda r: (r[0] is not None, r[0], r[1]))
         block = spark.sparkContext.broadcast(Block([r[0] for r in part], [r[1] for r in part]))
-        rows = rows.mapInArrow(functools.partial(_find, block=block), schema)
-        if k < blocks - 1:
-            rows = stored(rows, "decontaminated")
-    return rows
+        yield n - 1 - k, block
+        if k < n - 1:
+            block.destroy()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, the benchmark items found (ascending) and the longest overlap, of each row."""
+    small_batches(docs.sparkSession)
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    rows = docs.select("doc_id", "text", F.array().cast(f"array<struct<item_id:{kind},start:int,tokens:int,matched:int>>").alias("hits"))
+    schema = rows.schema
+    for left, block in _blocks(benchmark):
+        rows = rows.mapInArrow(functools.partial(_find, block=block), schema)
+        if left:
+            rows = stored(rows, "decontaminated")
     hits = F.col("hits")
-    return with_hits(docs, benchmark, ("doc_id",)).select(
+    return rows.select(
         "doc_id",
         (F.size(hits) > 0).alias("contaminated"),
         F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["item_id"]))).alias("items"),
@@ -199,6 +218,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    names = docs.columns
-    packed = docs.select(F.struct("*").alias("row"), "text")
-    return with_hits(packed, benchmark, ("row",)).where(F.size("hits") == 0).select(*[F.col("row")[c].alias(c) for c in names])
+    """The rows without overlaps, with all their columns."""
+    for left, block in _blocks(benchmark):
+        docs = filtered(docs, functools.partial(_clean, block=block))
+        if left:
+            docs = stored(docs, "decontaminated")
+    return docs

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import release_shuffles, stored
+from tidemark.llm.common import lean, release_shuffles, small_batches, stored
 from tidemark.llm.decontamination import _Ids, token_ids
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -131,6 +131,7 @@ def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+@lean
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = _Ids()
     with np.errstate(over="ignore"):
@@ -148,6 +149,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+@lean
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = _Ids()
     with np.errstate(over="ignore"):
@@ -162,6 +164,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b["a"], b["b"], pa.array(good, pa.float64())], names=["a", "b", "similarity"]).filter(keep)
 
 
+@lean
 def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = _Ids()
     with np.errstate(over="ignore"):
@@ -255,6 +258,7 @@ def links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Distinct texts (digest, least doc_id), verified near pairs (a, b, similarity) of digests, and their components."""
     spark = docs.sparkSession
     release_shuffles(spark)
+    small_batches(spark)
     given = with_digest(docs)
     kind = given.schema["doc_id"].dataType.simpleString()
     drawn = given.mapInArrow(_sketch, f"doc_id {kind}, digest binary, n int, keys array<bigint>")
