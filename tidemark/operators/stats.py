@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 
 def chi2_tail(x: float) -> float:
@@ -10,28 +11,30 @@ def chi2_tail(x: float) -> float:
     return math.erfc(math.sqrt(max(x, 0.0) / 2))
 
 
+def log_ratio(counts: Sequence[float], expected: Sequence[float]) -> float:
+    """Twice the log of how much likelier counts are under their own rates than under expected counts (0 log 0 = 0)."""
+    return 2 * sum(n * math.log(n / e) for n, e in zip(counts, expected, strict=True) if n)
+
+
 def kupiec(n: int, hits: int, alpha: float = 0.05) -> float | None:
     """p-value that violations come at rate alpha; null under 20 observations, 0 if none or all are hits."""
     if n < 20:
         return None
-    if hits in (0, n):
-        return 0.0
-    p = hits / n
-    like = lambda q: (n - hits) * math.log(1 - q) + hits * math.log(q)
-    return chi2_tail(-2 * (like(alpha) - like(p)))
+    return chi2_tail(log_ratio((hits, n - hits), (alpha * n, (1 - alpha) * n))) if 0 < hits < n else 0.0
 
 
 def christoffersen(n: int, n00: int, n01: int, n10: int, n11: int) -> float | None:
-    """p-value that violations are independent of the day before; null under 30 observations."""
+    """p-value that violations are independent of the day before; null under 30 observations.
+
+    The likelihood ratio of a two-state chain against independence is that of its table of transitions
+    against the product of the table's margins.
+    """
     if n < 30:
         return None
-
-    def like(a: int, b: int, p: float) -> float:
-        return (a * math.log(max(1e-12, 1 - p)) if a else 0.0) + (b * math.log(max(1e-12, p)) if b else 0.0)
-
-    both = n00 + n01 + n10 + n11
-    apart = like(n00, n01, n01 / max(1, n00 + n01)) + like(n10, n11, n11 / max(1, n10 + n11))
-    return chi2_tail(-2 * (like(n00 + n10, n01 + n11, (n01 + n11) / max(1, both)) - apart))
+    total, after_none, after_hit = n00 + n01 + n10 + n11, n00 + n01, n10 + n11
+    none, hit = n00 + n10, n01 + n11
+    margins = [row * column / total if total else 0.0 for row in (after_none, after_hit) for column in (none, hit)]
+    return chi2_tail(log_ratio((n00, n01, n10, n11), margins))
 
 
 def hac_t(n: int, mean: float, products: list[float], lag: int) -> float | None:

@@ -17,6 +17,11 @@ def price() -> Column:
     return 1000 + F.col("l_extendedprice") / F.col("l_quantity") / 20
 
 
+def money(column: str) -> Column:
+    """Sum of an amount in cents, exact whatever the order of rows."""
+    return F.sum(F.col(column).cast("decimal(18,2)")).cast("double")
+
+
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -31,12 +36,12 @@ class Tables:
             self.raw("lineitem")
             .groupBy(F.col("l_suppkey").alias("security_id"), F.col("l_shipdate").cast("date").alias("trade_date"))
             .agg(
-                F.round(F.min_by(price(), order), 6).alias("open"),
-                F.round(F.max(price()), 6).alias("high"),
-                F.round(F.min(price()), 6).alias("low"),
-                F.round(1000 + F.sum("l_extendedprice") / F.sum("l_quantity") / 20, 6).alias("close"),
+                F.min_by(price(), order).alias("open"),
+                F.max(price()).alias("high"),
+                F.min(price()).alias("low"),
+                (1000 + money("l_extendedprice") / F.sum("l_quantity") / 20).alias("close"),
                 F.sum("l_quantity").alias("volume"),
-                F.round(F.sum("l_extendedprice"), 2).alias("amount"),
+                money("l_extendedprice").alias("amount"),
             )
         )
 
@@ -79,16 +84,21 @@ class Tables:
             F.struct(F.lit("1992-01-01").cast("date").alias("effective_from"), F.concat(F.lit("R"), "n_regionkey").alias("industry_code")),
             F.struct(F.lit("1995-06-01").cast("date").alias("effective_from"), F.concat(F.lit("S"), F.col("s_suppkey") % 4).alias("industry_code")),
         )
-        return s.where("s_suppkey % 8 <> 0").select(F.col("s_suppkey").alias("security_id"), F.inline(rows))
+        return s.select(F.col("s_suppkey").alias("security_id"), F.inline(rows))
+
+    @cached_property
+    def n_securities(self) -> int:
+        return self.raw("supplier").count()
 
     @cached_property
     def statements(self) -> DataFrame:
         """One row per security and quarter, all items as columns; flows are cumulative within the year."""
-        n = self.raw("supplier").count()
+        n = self.n_securities
+        urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")).otherwise(0.0).cast("decimal(18,2)")
         q = (
             self.raw("orders")
             .groupBy((F.col("o_custkey") % n + 1).alias("security_id"), F.year("o_orderdate").alias("year"), F.quarter("o_orderdate").alias("quarter"))
-            .agg(F.round(F.sum("o_totalprice"), 2).alias("sales"), F.count("*").alias("orders"), F.round(F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")).otherwise(0.0)), 2).alias("urgent"))
+            .agg(money("o_totalprice").alias("sales"), F.count("*").alias("orders"), F.sum(urgent).cast("double").alias("urgent"))
         )
         ytd, all_ = "over (partition by security_id, year order by quarter)", "over (partition by security_id order by year, quarter)"
         return q.selectExpr(
@@ -102,17 +112,18 @@ class Tables:
     @cached_property
     def items(self) -> DataFrame:
         """Statements as a long table of items."""
-        return self.statements.unpivot(["security_id", "report_period", "available_at"], [*FLOWS, *STOCKS], "item", "value")
+        long = self.statements.unpivot(["security_id", "report_period", "available_at"], [*FLOWS, *STOCKS], "item", "value")
+        return long.withColumn("statement_type", F.when(F.col("item").isin(*FLOWS), "flow").otherwise("stock"))
 
     @cached_property
     def supply(self) -> DataFrame:
         """Supply events: large open orders as quantities to come."""
-        n = self.raw("supplier").count()
+        n = self.n_securities
         return self.raw("orders").where("o_orderstatus = 'O'").select((F.col("o_custkey") % n + 1).alias("security_id"), F.col("o_orderdate").cast("date").alias("event_date"), F.floor(F.abs("o_totalprice")).cast("double").alias("qty"))
 
     @cached_property
     def regulatory(self) -> DataFrame:
-        n = self.raw("supplier").count()
+        n = self.n_securities
         return self.raw("orders").where("o_orderpriority = '1-URGENT'").select((F.col("o_custkey") % n + 1).alias("security_id"), F.col("o_orderdate").cast("date").alias("event_date"))
 
     @cached_property
@@ -126,16 +137,30 @@ class Tables:
     @cached_property
     def macro(self) -> DataFrame:
         """Monthly series by order priority, named like macro indicators."""
-        name = "element_at(map('1-URGENT', 'gdp growth', '2-HIGH', 'M2 credit', '3-MEDIUM', 'LPR 1y', '4-NOT SPECIFIED', 'fiscal outlays', '5-LOW', 'weather'), o_orderpriority)"
-        return self.raw("orders").groupBy(F.expr(f"lower({name})").alias("series"), F.expr("last_day(cast(o_orderdate as date))").alias("release_date")).agg((F.sum("o_totalprice") / 1000).alias("value"))
+        name = "element_at(map('1-URGENT', 'gdp growth', '2-HIGH', 'M2 credit', '3-MEDIUM', 'LPR 1y', '4-NOT SPECIFIED', 'fiscal outlays', '5-LOW', 'retail credit'), o_orderpriority)"
+        return self.raw("orders").groupBy(F.expr(f"lower({name})").alias("series"), F.expr("last_day(cast(o_orderdate as date))").alias("release_date")).agg((money("o_totalprice") / 1000).alias("value"))
 
     @cached_property
     def announcements(self) -> DataFrame:
-        """Documents as announcements; null titles occur."""
+        """Documents as announcements, their whole texts as titles."""
         return self.raw("documents").selectExpr(
-            "doc_id as announcement_id", "case when doc_id % 37 = 0 then null else substring(text, 1, 200) end as title", "date_add(date '2019-01-01', cast(doc_id % 700 as int)) as announce_date", "source"
+            "doc_id as announcement_id", "text as title", "date_add(date '2019-01-01', cast(doc_id % 700 as int)) as announce_date", "source"
         )
 
+    @cached_property
+    def adj_factors(self) -> DataFrame:
+        return self.actions.selectExpr("security_id", "ex_date", "1 + bonus_ratio + transfer_ratio as factor")
+
+    @cached_property
+    def trading_status(self) -> DataFrame:
+        return self.bars.selectExpr("security_id", "trade_date", "volume > 0 as trades")
+
+    def holds(self, path: str) -> DataFrame:
+        """One row, value 1 if the lake has a file or folder of that name, else 0."""
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{path}")
+        there = at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
+        return self.spark.range(1).select(F.lit(int(there)).cast("long").alias("value"))
+
     @cached_property
     def delisted(self) -> DataFrame:
         return self.securities.where("out_date is not null").select("security_id", "out_date")

@@ -138,8 +138,8 @@ select("p03_prefix_regex", "select security_id, code from securities where regex
 REPORT, FIX = "(?i)(the|der|les|el) ", "(?i)(ion|ung|ment|cia)"
 select("p04_two_regexes", f"select announcement_id from announcements where regexp_matches(coalesce(title, ''), '{REPORT}') and regexp_matches(coalesce(title, ''), '{FIX}')",
        lambda m: m.announcements.where(F.coalesce("title", F.lit("")).rlike(REPORT) & F.coalesce("title", F.lit("")).rlike(FIX)).select("announcement_id"))
-select("p05_ohlc_invariant", "select security_id, trade_date from bars where high < greatest(open, close, low) or low > least(open, close, high) or volume < 0 or amount < 0",
-       lambda m: m.bars.where("high < greatest(open, close, low) or low > least(open, close, high) or volume < 0 or amount < 0").select("security_id", "trade_date"))
+select("p05_ohlc_invariant", "select security_id, trade_date from bars where not (high - 1 < greatest(open, close, low) or low > least(open, close, high) + 1e-9 or volume < 0 or amount < 0)",
+       lambda m: m.bars.where("not (high - 1 < greatest(open, close, low) or low > least(open, close, high) + 1e-9 or volume < 0 or amount < 0)").select("security_id", "trade_date"))
 select("p06_ohlc_with_tolerance", "select security_id, trade_date, volume % 3 <> 0 and (high + 1e-12 < greatest(open, close, low) or low - 1e-12 > least(open, close, high)) as broken from bars",
        lambda m: m.bars.select("security_id", "trade_date", F.expr("volume % 3 <> 0 and (high + 1e-12 < greatest(open, close, low) or low - 1e-12 > least(open, close, high))").alias("broken")))
 select("p07_coalesce", "select security_id, trade_date, coalesce(float_mv, 0) as float_mv from valuation", lambda m: m.valuation.select("security_id", "trade_date", F.coalesce("float_mv", F.lit(0.0)).alias("float_mv")))
@@ -265,7 +265,7 @@ def rolled(name: str, table: str, value: str, spark_value, n: int, least: int, a
 
 select("w01_lag_one", f"select security_id, trade_date, lag(close) {OWN} as prev_close from bars", lambda m: m.bars.select(*KEY, F.lag("close").over(W.own()).alias("prev_close")))
 select("w02_lag_many", f"select security_id, trade_date, lag(close, 21) {OWN} as l21, lag(close, 126) {OWN} as l126, lag(close, 252) {OWN} as l252 from bars", lambda m: m.bars.select(*KEY, *[F.lag("close", n).over(W.own()).alias(f"l{n}") for n in (21, 126, 252)]))
-select("w03_difference", f"select security_id, trade_date, {r(f'close - lag(close, 21) {OWN}')} as d21, {r(f'close - lag(close, 63) {OWN}')} as d63 from bars", lambda m: m.bars.select(*KEY, R(W.difference("close", 21), 6).alias("d21"), R(W.difference("close", 63), 6).alias("d63")))
+select("w03_difference", f"select security_id, trade_date, close - lag(close, 21) {OWN} as d21, close - lag(close, 63) {OWN} as d63 from bars", lambda m: m.bars.select(*KEY, W.difference("close", 21).alias("d21"), W.difference("close", 63).alias("d63")))
 select("w04_padded_change", f"select security_id, trade_date, {r('b / nullif(lag(b, 20) ' + OWN + ', 0) - 1')} as x from (select *, last_value(balance ignore nulls) over (partition by security_id order by trade_date rows between unbounded preceding and current row) as b from margin)",
        lambda m: m.margin.withColumn("b", W.filled(col("balance"))).select(*KEY, R(W.change("b", 20), 6).alias("x")))
 select("w05_compounded", f"select security_id, trade_date, {r('tri')} as tri from returns", lambda m: m.returns.select(*KEY, R("tri", 6).alias("tri")))
@@ -305,7 +305,7 @@ select("w15_rank_share", f"select security_id, trade_date, {r('(rank() over (par
        lambda m: m.bars.select(*KEY, R(W.rank_share(col("volume"), "trade_date"), 6).alias("x")))
 select("w16_single_quarters", "select security_id, report_period, " + ", ".join(f"{r(c + '_q', 4)} as {c}" for c in FLOWS) + " from single", lambda m: fundamentals.trailing(m.statements).select("security_id", "report_period", *[R(f"{c}_q", 4).alias(c) for c in FLOWS]))
 FC = ("pre_adj_np_ttm", "disp_adj_np_ttm", "scale_adj_np_ttm", "pre_revenue_ttm", "disp_revenue_ttm", "scale_revenue_ttm")
-select("w17_forecasts", "select security_id, report_period, " + ", ".join(f"{r(c, 2)} as {c}" for c in FC) + " from forecast", lambda m: m.reports.select("security_id", "report_period", *[R(c, 2).alias(c) for c in FC]))
+select("w17_forecasts", "select security_id, report_period, " + ", ".join(f"{r(c)} as {c}" for c in FC) + " from forecast", lambda m: m.reports.select("security_id", "report_period", *[R(c, 6).alias(c) for c in FC]))
 select("w18_keep_last", "select l_orderkey, l_linenumber, l_extendedprice from (select *, row_number() over (partition by l_orderkey, l_linenumber order by l_shipdate desc, l_partkey desc, l_extendedprice desc) as n from lineitem) where n = 1",
        lambda m: W.keep_last(m.raw("lineitem"), ["l_orderkey", "l_linenumber"], [col("l_shipdate"), col("l_partkey"), col("l_extendedprice")]).select("l_orderkey", "l_linenumber", "l_extendedprice"))
 

@@ -9,8 +9,13 @@ from tidemark.functions import log_positive, safe_div
 from tidemark.operators import windows as W
 from tidemark.operators.joins import asof_join, range_aggregate
 
-#: Factor groups.
-MACRO = {"raw_f06": ("gdp", "pmi"), "raw_f07": ("m2", "credit"), "raw_f08": ("lpr", "repo"), "raw_f09": ("fiscal",)}
+#: Factor groups and the words that name their series.
+MACRO = {
+    "raw_f06": ("gdp", "pmi", "industrial", "retail"),
+    "raw_f07": ("tsf", "social financing", "m2", "credit"),
+    "raw_f08": ("lpr", "repo", "dr007", "yield"),
+    "raw_f09": ("fiscal", "government expenditure", "财政支出"),
+}
 MACHINE = (22, 34, 35, 36, 37, 38, 40, 45)
 MARKET = (12, 13, 15, 16, 17, 47, 48, 49, 50, 55)
 MISSING = (1, 2, 3, 4, 5, 10, 11, 17, 19, 39)
@@ -92,15 +97,11 @@ def event_factors(market: DataFrame, supply: DataFrame, regulatory: DataFrame, s
 
 
 def macro_moves(macro: DataFrame) -> DataFrame:
-    """Three-step change of the daily mean of each keyword group's series."""
+    """Three-step change of the daily mean of each keyword group's series; a series may be of several groups."""
     name = F.lower("series")
-    which = F.lit(None).cast("string")
-    for f, words in reversed(MACRO.items()):
-        hit = F.lit(False)
-        for w in words:
-            hit = hit | name.contains(w)
-        which = F.when(hit, f).otherwise(which)
-    d = macro.groupBy(which.alias("factor"), "release_date").agg(F.avg("value").alias("v")).where("factor is not null")
+    named = [F.when(F.exists(F.array(*map(F.lit, words)), name.contains), F.lit(f)) for f, words in MACRO.items()]
+    d = macro.select(F.explode(F.array_compact(F.array(*named))).alias("factor"), "release_date", "value")
+    d = d.groupBy("factor", "release_date").agg(F.avg("value").alias("v"))
     w = Window.partitionBy("factor").orderBy("release_date")
     return d.select("factor", "release_date", F.when(F.col("factor") == "raw_f08", -W.difference("v", 3, w)).otherwise(W.change("v", 3, w)).alias("move"))
 

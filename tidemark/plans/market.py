@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import safe_div, source_available_at
@@ -29,7 +29,7 @@ def total_returns(bars: DataFrame, actions: DataFrame) -> DataFrame:
     d = bars.join(summed_actions(actions), ["security_id", "trade_date"], "left").fillna(0.0, list(RATIOS))
     d = d.withColumn("prev_close", F.lag("close").over(W.own()))
     wealth = F.expr("close * (1 + bonus_ratio + transfer_ratio + allotment_ratio) + cash_dividend - allotment_ratio * coalesce(allotment_price, 0.0D)")
-    d = d.withColumn("ret", F.when(F.col("prev_close") > 0, F.round(wealth / F.col("prev_close") - 1, 9)))
+    d = d.withColumn("ret", F.when(F.col("prev_close") > 0, wealth / F.col("prev_close") - 1))
     return d.withColumn("tri", W.compounded(F.col("ret")))
 
 
@@ -49,24 +49,24 @@ def benchmarks(returns: DataFrame, valuation: DataFrame) -> DataFrame:
 
 
 def labels(returns: DataFrame, bench: DataFrame, calendar: DataFrame) -> DataFrame:
-    """Excess return from each session to exactly 20, 60 and 120 sessions later; rows without any are left out."""
-    path = bench.join(calendar, "trade_date").select("pos", F.col("trade_date").alias("as_of_date"), F.col("ffm_tri").alias("b0"))
-    for h in HORIZONS:
-        later = bench.join(calendar, "trade_date").select((F.col("pos") - h).alias("pos"), F.col("ffm_tri").alias(f"b{h}"))
-        path = path.join(later, "pos", "left")
-        end = calendar.select((F.col("pos") - h).alias("pos"), F.col("trade_date").alias(f"d{h}"))
-        path = path.join(end, "pos", "left")
-    d = returns.select("security_id", F.col("trade_date").alias("as_of_date"), "tri").join(F.broadcast(path), "as_of_date").where("tri > 0")  # one row per session
-    for h in HORIZONS:
-        ends = returns.select("security_id", F.col("trade_date").alias(f"d{h}"), F.col("tri").alias(f"e{h}"))
-        d = d.join(ends, ["security_id", f"d{h}"], "left")
+    """Excess return from each session to exactly 20, 60 and 120 sessions later; rows without any are left out.
+
+    Sessions are numbered without gaps, so the session h later is the frame of exactly that number: one
+    window over a security's own rows, and one over the date-sized benchmark path, instead of joins.
+    """
+    by_pos = Window.orderBy("pos")  # one row per session
+    path = calendar.join(bench.select("trade_date", F.col("ffm_tri").alias("b0")), "trade_date", "left")
+    path = path.select("trade_date", "pos", "b0", *[F.lead(c, h).over(by_pos).alias(f"{n}{h}") for h in HORIZONS for c, n in (("b0", "b"), ("trade_date", "d"))])
+    own = Window.partitionBy("security_id").orderBy("pos")
+    d = returns.select("security_id", "trade_date", "tri").join(F.broadcast(path), "trade_date")  # one row per session
+    d = d.withColumns({f"e{h}": F.first("tri").over(own.rangeBetween(h, h)) for h in HORIZONS}).where("tri > 0 and b0 is not null")
     out = []
     for h in HORIZONS:
         both = F.col(f"e{h}").isNotNull() & F.col(f"b{h}").isNotNull()
         out.append(F.round(F.col(f"e{h}") / F.col("tri") - F.col(f"b{h}") / F.col("b0"), 6).alias(f"excess_{h}"))
         out.append(F.when(both, source_available_at(f"d{h}")).alias(f"end_{h}"))
     any_end = F.coalesce(*[F.col(f"end_{h}") for h in HORIZONS]).isNotNull()
-    return d.select("security_id", "as_of_date", *out).where(any_end)
+    return d.select("security_id", F.col("trade_date").alias("as_of_date"), *out).where(any_end)
 
 
 def technical(returns: DataFrame) -> DataFrame:

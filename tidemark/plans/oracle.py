@@ -22,9 +22,9 @@ def div(a: str, b: str) -> str:
 
 CTE: dict[str, str] = {
     "bars": """select l_suppkey as security_id, cast(l_shipdate as date) as trade_date,
-        round(first(1000 + l_extendedprice / l_quantity / 20 order by l_orderkey, l_linenumber, l_partkey, l_extendedprice), 6) as open,
-        round(max(1000 + l_extendedprice / l_quantity / 20), 6) as high, round(min(1000 + l_extendedprice / l_quantity / 20), 6) as low, round(1000 + sum(l_extendedprice) / sum(l_quantity) / 20, 6) as close,
-        sum(l_quantity) as volume, round(sum(l_extendedprice), 2) as amount from lineitem group by 1, 2""",
+        first(1000 + l_extendedprice / l_quantity / 20 order by l_orderkey, l_linenumber, l_partkey, l_extendedprice) as open,
+        max(1000 + l_extendedprice / l_quantity / 20) as high, min(1000 + l_extendedprice / l_quantity / 20) as low, 1000 + cast(sum(cast(l_extendedprice as decimal(18, 2))) as double) / sum(l_quantity) / 20 as close,
+        sum(l_quantity) as volume, cast(sum(cast(l_extendedprice as decimal(18, 2))) as double) as amount from lineitem group by 1, 2""",
     "calendar": "select trade_date, row_number() over (order by trade_date) - 1 as pos from (select distinct trade_date from bars)",
     "actions": """select l_suppkey as security_id, cast(l_shipdate as date) as ex_date, l_discount as cash_dividend, l_tax / 10 as bonus_ratio, l_tax / 40 as transfer_ratio,
         case when l_linenumber % 3 = 0 then l_tax / 20 else 0.0 end as allotment_ratio, case when l_linenumber % 2 = 0 then l_extendedprice / l_quantity end as allotment_price
@@ -36,10 +36,10 @@ CTE: dict[str, str] = {
         case when {DAY} % 23 = 0 then null else close * (2 + security_id % 9) end as total_mv,
         case when {DAY} % 11 = 0 then -5.0 when {DAY} % 13 = 0 then 0.0 else close / 100 end as pe_ttm, case when {DAY} % 29 = 0 then null else close / 500 end as pb,
         volume / 1000 as turnover_rate from bars""",
-    "membership": """select s_suppkey as security_id, date '1992-01-01' as effective_from, 'R' || n_regionkey as industry_code from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 8 <> 0
-        union all select s_suppkey, date '1995-06-01', 'S' || (s_suppkey % 4) from supplier join nation on s_nationkey = n_nationkey where s_suppkey % 8 <> 0""",
-    "quarters": """select o_custkey % (select count(*) from supplier) + 1 as security_id, year(o_orderdate) as year, quarter(o_orderdate) as quarter, round(sum(o_totalprice), 2) as sales,
-        count(*) as orders, round(sum(case when o_orderpriority = '1-URGENT' then o_totalprice else 0.0 end), 2) as urgent from orders group by 1, 2, 3""",
+    "membership": """select s_suppkey as security_id, date '1992-01-01' as effective_from, 'R' || n_regionkey as industry_code from supplier join nation on s_nationkey = n_nationkey
+        union all select s_suppkey, date '1995-06-01', 'S' || (s_suppkey % 4) from supplier join nation on s_nationkey = n_nationkey""",
+    "quarters": """select o_custkey % (select count(*) from supplier) + 1 as security_id, year(o_orderdate) as year, quarter(o_orderdate) as quarter, cast(sum(cast(o_totalprice as decimal(18, 2))) as double) as sales,
+        count(*) as orders, cast(sum(cast(case when o_orderpriority = '1-URGENT' then o_totalprice else 0.0 end as decimal(18, 2))) as double) as urgent from orders group by 1, 2, 3""",
     "statements": f"""select security_id, last_day(make_date(year, quarter * 3, 1)) as report_period, last_day(make_date(year, quarter * 3, 1)) + cast(30 + security_id % 25 as int) as available_at,
         sum(sales) {YTD} as revenue, 0.6 * sum(sales) {YTD} + 100 * sum(orders) {YTD} as op_cost, 0.2 * sum(urgent) {YTD} - 50 as adj_np,
         0.15 * sum(sales) {YTD} - 30 * sum(orders) {YTD} as net_income, 0.25 * sum(sales) {YTD} as op_profit, 0.18 * sum(sales) {YTD} - 0.1 * sum(urgent) {YTD} as cfo,
@@ -49,16 +49,18 @@ CTE: dict[str, str] = {
     "regulatory": "select o_custkey % (select count(*) from supplier) + 1 as security_id, cast(o_orderdate as date) as event_date from orders where o_orderpriority = '1-URGENT'",
     "schedule": "select security_id, available_at as event_date from statements",
     "margin": "select security_id, trade_date, case when (security_id + day(trade_date)) % 5 = 0 then null else amount / 10 end as balance from bars",
-    "macro": """select lower(case o_orderpriority when '1-URGENT' then 'gdp growth' when '2-HIGH' then 'M2 credit' when '3-MEDIUM' then 'LPR 1y' when '4-NOT SPECIFIED' then 'fiscal outlays' else 'weather' end) as series,
-        last_day(cast(o_orderdate as date)) as release_date, sum(o_totalprice) / 1000 as value from orders group by 1, 2""",
-    "announcements": """select doc_id as announcement_id, case when doc_id % 37 = 0 then null else substring(text, 1, 200) end as title, date '2019-01-01' + cast(doc_id % 700 as int) as announce_date, source from documents""",
+    "macro": """select lower(case o_orderpriority when '1-URGENT' then 'gdp growth' when '2-HIGH' then 'M2 credit' when '3-MEDIUM' then 'LPR 1y' when '4-NOT SPECIFIED' then 'fiscal outlays' else 'retail credit' end) as series,
+        last_day(cast(o_orderdate as date)) as release_date, cast(sum(cast(o_totalprice as decimal(18, 2))) as double) / 1000 as value from orders group by 1, 2""",
+    "announcements": """select doc_id as announcement_id, text as title, date '2019-01-01' + cast(doc_id % 700 as int) as announce_date, source from documents""",
+    "adj_factors": "select security_id, ex_date, 1 + bonus_ratio + transfer_ratio as factor from actions",
+    "trading_status": "select security_id, trade_date, volume > 0 as trades from bars",
     "delisted": "select security_id, out_date from securities where out_date is not null",
     "summed": """select security_id, ex_date as trade_date, coalesce(sum(cash_dividend), 0) as cash_dividend, coalesce(sum(bonus_ratio), 0) as bonus_ratio, coalesce(sum(transfer_ratio), 0) as transfer_ratio,
         coalesce(sum(allotment_ratio), 0) as allotment_ratio, case when sum(allotment_ratio) > 0 then sum(allotment_ratio * coalesce(allotment_price, 0)) / sum(allotment_ratio) end as allotment_price
         from actions group by 1, 2""",
     "moves": f"""select b.*, coalesce(a.cash_dividend, 0) as cash_dividend, coalesce(bonus_ratio, 0) as bonus_ratio, coalesce(transfer_ratio, 0) as transfer_ratio, coalesce(allotment_ratio, 0) as allotment_ratio,
         allotment_price, lag(close) over (partition by b.security_id order by b.trade_date) as prev_close from bars b left join summed a on a.security_id = b.security_id and a.trade_date = b.trade_date""",
-    "returns0": """select *, case when prev_close > 0 then round((close * (1 + bonus_ratio + transfer_ratio + allotment_ratio) + cash_dividend - allotment_ratio * coalesce(allotment_price, 0)) / prev_close - 1, 9) end as ret from moves""",
+    "returns0": """select *, case when prev_close > 0 then (close * (1 + bonus_ratio + transfer_ratio + allotment_ratio) + cash_dividend - allotment_ratio * coalesce(allotment_price, 0)) / prev_close - 1 end as ret from moves""",
     "returns": f"select *, product(1 + greatest(coalesce(ret, 0), -0.999999)) over ({OWN} rows between unbounded preceding and current row) as tri from returns0",
     "eligible": """select * from (select r.security_id, r.trade_date, ret, lag(float_mv) over w as fw, lag(total_mv) over w as cw, lag(ret) over w as before from returns r
         left join valuation v on v.security_id = r.security_id and v.trade_date = r.trade_date window w as (partition by r.security_id order by r.trade_date)) where before is not null and ret is not null""",
@@ -87,6 +89,7 @@ FLOW = ("revenue", "op_cost", "adj_np", "net_income", "op_profit", "cfo", "capex
 STOCK = ("ar", "inventory", "assets", "liabilities", "current_assets", "current_liab")
 REPORT = "partition by security_id order by report_period"
 LAGGED = [f"{c}_ttm" for c in FLOW] + list(STOCK)
+CTE["items"] = "select security_id, report_period, available_at, item, value, case when item in (" + ", ".join(f"'{c}'" for c in FLOW) + ") then 'flow' else 'stock' end as statement_type from (unpivot statements on " + ", ".join(FLOW + STOCK) + " into name item value value)"
 CTE["single"] = "select *, " + ", ".join(
     f"case when quarter(report_period) = 1 or lag({c}) over y is null then {c} else {c} - lag({c}) over y end as {c}_q" for c in FLOW
 ) + " from statements window y as (partition by security_id, year(report_period) order by report_period)"
@@ -136,7 +139,8 @@ for _f, _t, _lo, _hi, _v in (("f53", "supply", 1, 180, "qty"), ("f54", "regulato
     CTE[_f] = (f"select m.security_id, m.as_of_date, coalesce(sum(case when e.event_date is not null then {_v} end), 0.0) as raw_{_f} from market m left join {_t} e on e.security_id = m.security_id "
                f"and e.event_date between m.as_of_date + {_lo} and m.as_of_date + {_hi} group by 1, 2").replace("+ -", "- ")
 _in_order = "order by release_date"
-CTE["macro_daily"] = "select case when series like '%gdp%' or series like '%pmi%' then 'f06' when series like '%m2%' or series like '%credit%' then 'f07' when series like '%lpr%' or series like '%repo%' then 'f08' when series like '%fiscal%' then 'f09' end as factor, release_date, avg(value) as v from macro group by 1, 2 having factor is not null"
+_GROUPS = {"f06": ("gdp", "pmi", "industrial", "retail"), "f07": ("tsf", "social financing", "m2", "credit"), "f08": ("lpr", "repo", "dr007", "yield"), "f09": ("fiscal", "government expenditure", "财政支出")}
+CTE["macro_daily"] = " union all ".join(f"select '{f}' as factor, release_date, avg(value) as v from macro where " + " or ".join(f"contains(series, '{w}')" for w in words) + " group by 2" for f, words in _GROUPS.items())
 CTE["macro_moves"] = "select factor, release_date, case when factor = 'f08' then -(v - lag(v, 3) over w) else v / nullif(lag(v, 3) over w, 0) - 1 end as move from macro_daily window w as (partition by factor order by release_date)"
 CTE["macro_asof"] = "select d.trade_date as as_of_date, " + ", ".join(f"{f}.move as raw_{f}" for f in ("f06", "f07", "f08", "f09")) + " from (select trade_date from calendar) d " + " ".join(
     f"asof left join (select * from macro_moves where factor = '{f}') {f} on {f}.release_date <= d.trade_date" for f in ("f06", "f07", "f08", "f09"))
@@ -158,7 +162,7 @@ def sql(body: str) -> str:
     need(body)
     if not order:
         return body
-    head = ", ".join(f"{n} as ({CTE[n]})" for n in order)
+    head = ", ".join(f"{n} as materialized ({CTE[n]})" for n in order)
     return f"with {head}, {body[5:]}" if body.startswith("with ") else f"with {head} {body}"
 
 
