@@ -2,6 +2,12 @@
 
 Toxic documents go; of near-duplicate classes one document stays; documents that quote benchmark
 items go; secrets are blotted out of the texts; what is left is encoded.
+
+Defined results: documents with null or empty texts are never toxic or contaminated, are duplicates of
+each other, and have no tokens; texts of any length are treated whole; of repeated rows and of equal
+texts one row stays; documents without id are left out of the toxicity fit only; an empty table passes
+every stage as an empty table; further columns pass through all stages, and where one is named like a
+column that the last stage adds, the added one's name ends in underscores.
 """
 
 from __future__ import annotations
@@ -10,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontamination, orderhash, secrets, toxicity
-from tidemark.llm.common import crc_mod, stored, table
+from tidemark.llm.common import crc_mod, free_name, stored, table
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +40,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), tuple(c for c in docs.columns if c != "text"))
-    return coded.select(
-        *[c for c in docs.columns if c != "text"], (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), "ids", "decoded"
-    )
+    kept = tuple(c for c in docs.columns if c != "text")
+    ids, decoded, n_tokens, digest = (free_name(docs.select(*kept), c) for c in ("ids", "decoded", "n_tokens", "ids_sha256"))
+    coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), kept)
+    return coded.select(*kept, (F.octet_length(ids) / 4).cast("long").alias(n_tokens), F.sha2(ids, 256).alias(digest), ids, decoded)
 
 
 STAGES = [

@@ -45,3 +45,20 @@ def test_copies_nulls_and_ties(spark):
 def test_empty(spark):
     df = frame(spark, [], [])
     assert hnsw.nearest_neighbours(df, df).count() == 0
+
+
+def test_components_whose_squares_overflow_or_vanish(spark):
+    for unit in (1e160, 1e-170):
+        x = [[unit, 0.0], [2 * unit, 0.0], [4 * unit, 0.0], [8 * unit, unit]]
+        df = spark.createDataFrame(list(enumerate(x)), "vec_id long, embedding array<double>")
+        got = sorted(tuple(r) for r in hnsw.nearest_neighbours(df, df.where("vec_id = 0")).collect())
+        assert [g[:3] for g in got] == [(0, 1, 1), (0, 2, 2), (0, 3, 3)]
+        assert np.allclose([g[3] / unit for g in got], [1, 3, np.sqrt(50)])
+
+
+def test_many_lengths_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "MOST_LENGTHS", 2)
+    rows = [(10 * n + i, [1.0 + i] * n) for n in range(1, 6) for i in range(3)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = hnsw.nearest_neighbours(df, df).collect()
+    assert len(got) == 5 * 3 * 2 and all(r["query_id"] // 10 == r["vec_id"] // 10 for r in got)

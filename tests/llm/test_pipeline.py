@@ -50,3 +50,15 @@ def test_every_stage_keeps_the_columns(spark, tmp_path):
         out = stage(spark, docs, str(tmp_path))
         assert out.dtypes == docs.dtypes
         assert out.count() == 1
+
+
+def test_clashing_and_further_columns_pass_every_stage(spark, tmp_path):
+    kind = "doc_id long, text string, ids string, decoded int, n_tokens string, __spans int, score double, hits string, class_id long, digest string"
+    docs = spark.createDataFrame([(1, "some text", "i", 2, "n", 3, 0.5, "h", 4, "d"), (2, None, None, None, None, None, None, None, None, None)], kind)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert {c for c in docs.columns} <= {*out.columns, "n_chars"} and out.count() == 2
+    last = pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert {"ids_", "decoded_", "n_tokens_", "ids_sha256"} <= set(last.columns) and last.where("ids = 'i'").count() == 1

@@ -41,6 +41,21 @@ def test_one_text_with_a_third_of_all_rows_is_divided(spark):
     assert max(sizes.values()) <= 1.05 * sum(sizes.values()) / 8
 
 
+def test_a_heavy_block_keeps_equal_texts_together(spark):
+    rng = random.Random(2)
+    rows = [(i, f"text {rng.randrange(30)} " * 20) for i in range(600)]
+    homes, sizes = {}, {}
+    for r in S.reshard(frame(spark, rows), 4, 3, n_blocks=2).collect():
+        homes.setdefault(r["text_crc32"], set()).add(r["shard"])
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["size"]
+    assert all(len(h) == 1 for h in homes.values()) and len(sizes) == 4
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("a", "x"), (None, "y"), ("a", "x")], "doc_id string, text string")
+    assert sorted(r["slot"] for r in S.reshard(docs, 1, 1).collect()) == [0, 1, 2]
+
+
 def test_flow_moves_the_fewest_bytes():
     rng = random.Random(3)
     for _ in range(40):

@@ -1,5 +1,8 @@
 import hashlib
+import math
+import random
 import re
+import string
 
 from tidemark.llm import secrets
 
@@ -47,8 +50,44 @@ def test_models_tell_samples_apart(spark):
     assert score(KEY) > 9.2 > 0 > score("readable_identifier_name")
 
 
+def log_odds(labelled):
+    """The two character models by dictionaries."""
+    chars = secrets.ALPHABET
+    counts = {True: {}, False: {}}
+    for token, random in labelled:
+        for pair in {(a, b) for a, b in zip(token, token[1:]) if a in chars and b in chars}:
+            counts[random][pair] = counts[random].get(pair, 0) + 1
+    single = {k: {b: 1 + sum(n for (_, y), n in v.items() if y == b) for b in chars} for k, v in counts.items()}
+    def p(k, a, b):
+        row = sum(n for (x, _), n in counts[k].items() if x == a)
+        return (counts[k].get((a, b), 0) + secrets.PRIOR * single[k][b] / sum(single[k].values())) / (row + secrets.PRIOR)
+    return lambda s: sum(math.log(p(True, a, b) / p(False, a, b)) for a, b in zip(s, s[1:]))
+
+
+def test_model_spans_by_brute_force(spark):
+    """Every long token of a text is scored by dictionaries; recall and false alarms on planted tokens."""
+    rng = random.Random(4)
+    mixed = string.ascii_letters + string.digits
+    keys = ["".join(rng.choices(mixed, k=rng.randint(20, 40))) for _ in range(60)]
+    verbs, nouns = secrets.VERBS.split(), secrets.NOUNS.split()
+    names = ["_".join([rng.choice(verbs), rng.choice(nouns), rng.choice(nouns)]) for _ in range(60)]
+    texts = [f"see {k} in {n} here" for k, n in zip(keys, names, strict=True)]
+    docs = frame(spark, texts)
+    odds = log_odds([(r["token"], r["random"]) for r in secrets.samples(docs).collect() if r["token"]])
+    found = {r["doc_id"]: r["spans"] for r in secrets.scan(docs).collect()}
+    for i, t in enumerate(texts):
+        want = [
+            f"markov:{m.start()}:{m.end()}" for m in re.finditer(secrets.TOKEN, t)
+            if len(set(m[0])) >= secrets.LEAST_DISTINCT and odds(m[0]) >= max(secrets.LEAST_ODDS, secrets.LEAST_MEAN * (len(m[0]) - 1))
+        ]
+        assert [s for s in found[i].split(",") if s.startswith("markov")] == want
+    caught = [f"markov:4:{4 + len(k)}" in found[i] for i, k in enumerate(keys)]
+    alarms = [any(s.startswith(f"markov:{8 + len(k)}:") for s in found[i].split(",")) for i, k in enumerate(keys)]
+    assert sum(caught) >= 0.95 * len(keys) and sum(alarms) <= 0.05 * len(keys)
+
+
 def test_redaction_keeps_columns(spark):
-    docs = frame(spark, TEXTS).selectExpr("doc_id", "text", "'x' as __hex", "1 as spans")
+    docs = frame(spark, TEXTS).selectExpr("doc_id", "text", "'x' as __hex", "1 as spans", "2 as __spans")
     out = secrets.redact(docs, secrets.train(secrets.samples(docs)))
     assert out.columns == docs.columns
     got = {r["doc_id"]: r["text"] for r in out.collect()}

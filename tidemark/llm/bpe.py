@@ -9,8 +9,8 @@ a is a question about merge ranks only (``Merges.adjacent``).
 
 Defined results: null and empty texts have no tokens; texts of any length are encoded whole; added
 tokens of the vocabulary file are found in the raw text; repeated rows are encoded each; an empty
-table gives an empty result; of the input's columns only text and the kept ones play a part, and a
-kept column may not be named ids or decoded.
+table gives an empty result; of the input's columns only text and the kept ones play a part, and where
+a kept one is named ids or decoded the new column's name ends in underscores.
 
 The vocabulary file must be of this kind: NFC, one blank for blanks and lower case as normaliser,
 ``WORDS`` and byte letters as words, ``</w>`` at the end of words; ``Encoder`` refuses others.
@@ -32,11 +32,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, lean, small_batches
+from tidemark.llm.common import chunks, free_name, lean, small_batches
 
 #: Bytes of text whose distinct words share one trie, and words of a generation: the words met last and the generation before are remembered.
 SLICE_BYTES = 4 << 20
-GENERATION = 200_000
+GENERATION = 140_000
 END = "</w>"
 #: In this and the lower blocks letters, digits, lower case and normal form are the same in all versions of the standard.
 STABLE = "\u0250"
@@ -300,13 +300,13 @@ class Encoder:
 
 
 @lean
-def _encode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, names: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     coder = None
     for t in chunks(batches, SLICE_BYTES):
         coder = coder or Encoder(path)
         t = t.combine_chunks()
         ids, decoded = coder.arrays(pc.fill_null(t["text"].combine_chunks(), ""))
-        yield from t.drop(["text"]).append_column("ids", ids).append_column("decoded", decoded).to_batches()
+        yield from t.drop(["text"]).append_column(names[0], ids).append_column(names[1], decoded).to_batches()
 
 
 def encode_decode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -314,7 +314,8 @@ def encode_decode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",
     small_batches(docs.sparkSession)
     given = docs.select(*keep, "text")
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1])
-    return given.mapInArrow(functools.partial(_encode, path=path), f"{types}, ids binary, decoded string")
+    ids, decoded = (free_name(given, c) for c in ("ids", "decoded"))
+    return given.mapInArrow(functools.partial(_encode, path=path, names=(ids, decoded)), f"{types}, `{ids}` binary, `{decoded}` string")
 
 
 def digests(coded: DataFrame) -> DataFrame:

@@ -103,6 +103,14 @@ def _filtered(batches: Iterator[pa.RecordBatch], keeps: Callable, at: int) -> It
         yield held.pop().filter(pa.array(stay, pa.bool_()))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores behind it as long as the table has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as UTF-8; null texts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -9,7 +9,9 @@ lowest one with a beam, for a block of queries at a time; shard results are merg
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, neither as queries nor as candidates; vectors only meet vectors of their own length; ties go to
 the smaller id; rows that repeat an id are candidates each; with fewer candidates than asked for all
-are returned; an empty table gives an empty result.
+are returned; components whose squares would overflow or vanish are measured after scaling by a power
+of two; texts play no part; an empty table gives an empty result; columns other than vec_id and
+embedding play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import stored
 
 SHARD_ROWS, QUERY_BLOCK = 4096, 512
-#: Different vector lengths a search serves; the index itself takes any number (rarer ones as one shard each).
-MOST_LENGTHS = 4096
+#: Different vector lengths whose table is broadcast; more are joined by a shuffle.
+MOST_LENGTHS = 65_536
 #: Links per node (twice as many on the lowest level), near nodes looked at per link choice, beam width.
 LINKS, LOOKED_AT, BEAM = 16, 96, 96
 INDEX = "dim int, shard int, ids binary, starts binary, vectors binary, levels binary, links binary"
@@ -39,6 +41,17 @@ def valid(vectors: DataFrame) -> DataFrame:
     return v.where(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & F.exists("embedding", lambda x: x != 0)).withColumn("dim", F.size("embedding"))
 
 
+def scale_of(*arrays: np.ndarray) -> float:
+    """1, or the power of two that brings the largest component near 1 where squares would overflow or vanish."""
+    most = max((float(np.abs(a).max()) for a in arrays if a.size), default=1.0)
+    return 1.0 if 1e-140 < most < 1e140 or most == 0 else 2.0 ** -max(-1000, min(1000, int(np.frexp(most)[1])))
+
+
+def _lengths(sizes: DataFrame) -> DataFrame:
+    """One row per vector length, marked for broadcast if a count shows that they are few."""
+    return F.broadcast(sizes) if sizes.limit(MOST_LENGTHS + 1).count() <= MOST_LENGTHS else sizes
+
+
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distances of all rows of a to all rows of b; a and b are small blocks of one shard."""
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * (a @ b.T), 0)
@@ -113,6 +126,7 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> dict[str, bytes]:
     starts = np.append(np.flatnonzero(new), len(ids)).astype(np.int64)
     x = vectors[starts[:-1]]
     n = len(x)
+    near = x * scale_of(x)
     rng = np.random.default_rng(7)
     enter = rng.permutation(n).astype(np.int32)
     level = np.minimum((-np.log(1 - rng.random(n)) / np.log(LINKS)).astype(np.int32), 6)
@@ -120,7 +134,7 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> dict[str, bytes]:
     for h in range(int(level.max(initial=0)) + 1):
         nodes = enter[level[enter] >= h]
         table = np.full((n, 2 * LINKS if h == 0 else LINKS), -1, np.int32)
-        table[nodes] = link_level(x, nodes, table.shape[1])
+        table[nodes] = link_level(near, nodes, table.shape[1])
         links.append(table)
     return {
         "ids": ids.astype("<i8").tobytes(),
@@ -190,10 +204,14 @@ class Graph:
 
     def nearest(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
         """(query, id, distance) of the k nearest found, each query without itself."""
-        nodes, _ = self.search(queries)
+        scale = scale_of(self.x, queries)
+        plain = self.x
+        self.x = plain * scale if scale != 1 else plain
+        nodes, _ = self.search(queries * scale)
+        self.x = plain
         for q, v, found in zip(query_ids, queries, nodes, strict=True):
             found = found[found >= 0]
-            exact = np.sqrt(((self.x[found] - v) ** 2).sum(1))
+            exact = np.sqrt((((self.x[found] - v) * scale) ** 2).sum(1)) / scale
             got: list[tuple[float, int]] = []
             for d, node in sorted(zip(exact.tolist(), found.tolist(), strict=True)):
                 if len(got) >= k and d > got[k - 1][0]:
@@ -225,8 +243,8 @@ def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per shard. The number of shards of each vector length follows its count."""
     rows = valid(vectors)
     sizes = rows.groupBy("dim").agg(F.count("*").alias("n"))
-    dealt = rows.join(F.broadcast(sizes.orderBy(F.desc("n")).limit(MOST_LENGTHS)), "dim", "left")  # one row per vector length
-    shards = F.ceil(F.coalesce(F.col("n"), F.lit(1)) / shard_rows)
+    dealt = rows.join(_lengths(sizes), "dim")
+    shards = F.ceil(F.col("n") / shard_rows)
     keyed = dealt.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(9)), shards).cast("int")).select("dim", "shard", "vec_id", "embedding")
     return keyed.groupBy("dim", "shard").applyInArrow(_build, INDEX)
 
@@ -261,7 +279,7 @@ def search(graphs: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     rows = valid(queries).distinct()
     sizes = rows.groupBy("dim").agg(F.count("*").alias("n"))
     shards = graphs.groupBy("dim").agg((F.max("shard") + 1).alias("shards"))
-    per_dim = F.broadcast(sizes.join(shards, "dim").orderBy(F.desc("n")).limit(MOST_LENGTHS))  # one row per vector length
+    per_dim = _lengths(sizes.join(shards, "dim"))
     block = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.ceil(F.col("n") / QUERY_BLOCK)).cast("int")
     blocks = rows.join(per_dim, "dim").withColumn("block", block).groupBy("dim", "block").applyInArrow(_pack, "dim int, block int, query_ids binary, queries binary")
     spread = blocks.join(per_dim, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).drop("n", "shards")

@@ -1,14 +1,17 @@
 """Minimum-cost-flow resharding.
 
-Rows are grouped into blocks by the hash of their text, so equal texts travel together.  The
-driver sees only the block table (at most ``n_blocks * SPLIT`` rows, whatever the input), solves a
+Rows are grouped into blocks and parts of blocks by the hash of their text, so equal texts travel
+together.  The driver sees only the table of parts (at most ``2 * n_blocks * SPLIT`` rows, whatever the
+input), solves a
 minimum-cost flow from the old shards' sizes to the new shards' capacities (a byte that stays costs
 nothing, a byte that moves costs one) and realises the flow with whole blocks.  Block placement
 goes back to the rows as a broadcast of that bounded table.
 
 Defined results: null text counts as empty (size 1); empty table gives an empty result; repeated
-rows and ids are kept and get slots of their own; a block above a quarter of a shard's capacity
-(one text with very many copies) is divided by the hash of doc_id so that sizes stay near equal.
+rows and ids are kept and get slots of their own; ids of any type are accepted; texts of any length
+count whole; a block above a quarter of a shard's capacity is divided into its parts, which keeps
+equal texts together; only a part that alone is above a shard's capacity (in effect one text with
+very many copies) is divided further, by the hash of doc_id, so that sizes stay near equal.
 Other columns of the input play no part.
 """
 
@@ -122,7 +125,8 @@ def with_blocks(docs: DataFrame, n_blocks: int = N_BLOCKS, whole: bool = False)
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
         F.pmod(F.xxhash64(text), F.lit(n_blocks)).cast("int").alias("block"),
-        F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0))), F.lit(SPLIT)).cast("int").alias("part"),
+        F.pmod(F.xxhash64(text, F.lit(1)), F.lit(SPLIT)).cast("int").alias("part"),
+        F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(SPLIT)).cast("int").alias("sub"),
     )
 
 
@@ -132,24 +136,37 @@ def reshard(docs: DataFrame, n_new: int, n_old: int, n_blocks: int = N_BLOCKS, w
     Returns doc_id, size, text_crc32, old_shard, shard, slot (and row, the whole row, if asked for): slots
     run from 0 without gaps in each shard.
     """
-    rows = with_blocks(docs, n_blocks, whole)
-    parts = with_blocks(docs, n_blocks).groupBy("block", "part").agg(F.count("*").alias("rows"), F.sum("size").alias("size")).toPandas()
+    spark = docs.sparkSession
+    rows, own = with_blocks(docs, n_blocks, whole), with_blocks(docs, n_blocks)
+    count = [F.count("*").alias("rows"), F.sum("size").alias("size")]
+    parts = own.groupBy("block", "part").agg(*count).toPandas()  # at most n_blocks * SPLIT rows
+    # parts of many rows are numbered in sub-parts; fewer than n_blocks parts can be above this share
+    large = parts.loc[parts["rows"] > parts["rows"].sum() / n_blocks, ["block", "part"]]
+    if len(large):
+        marks = F.broadcast(spark.createDataFrame(large.astype("int32").assign(large=True), "block int, part int, large boolean"))
+        sub = F.when(F.col("large"), F.col("sub")).otherwise(0).alias("sub")
+        with_sub = lambda d: d.join(marks, ["block", "part"], "left").select(*[c for c in d.columns if c != "sub"], sub)
+        rows, fine = with_sub(rows), own.join(marks, ["block", "part"]).groupBy("block", "part", "sub").agg(*count).toPandas()  # at most n_blocks * SPLIT rows
+        parts = pd.concat([parts.merge(large.assign(large=True), how="left", on=["block", "part"]).query("large.isna()").drop(columns="large").assign(sub=0), fine])
+    else:
+        rows, parts = rows.withColumn("sub", F.lit(0)), parts.assign(sub=0)
+    parts = parts.sort_values(["block", "part", "sub"], ignore_index=True)
     parts["old"] = parts["block"] % n_old
-    parts = parts.sort_values(["block", "part"], ignore_index=True)
-    heavy = parts.groupby("block")["size"].transform("sum")
-    parts["unit"] = np.where(heavy > parts["size"].sum() / n_new / 4, parts["block"] * SPLIT + parts["part"], parts["block"] * SPLIT)
+    capacity = parts["size"].sum() / n_new
+    block, part = (parts.groupby(k)["size"].transform("sum") for k in (["block"], ["block", "part"]))
+    parts["unit"] = (parts["block"].astype("int64") * SPLIT + np.where(block > capacity / 4, parts["part"], 0)) * SPLIT + np.where(part > capacity, parts["sub"], 0)
     units = parts.groupby("unit", as_index=False).agg(old=("old", "first"), size=("size", "sum"))
     units["shard"] = place_blocks(units, n_new)
     parts = parts.merge(units[["unit", "shard"]], on="unit")
     parts["first"] = parts.groupby("shard")["rows"].cumsum() - parts["rows"]
-    placed = docs.sparkSession.createDataFrame(
-        parts[["block", "part", "old", "shard", "first"]].astype({"block": "int32", "part": "int32", "old": "int32", "shard": "int32", "first": "int64"}),
-        "block int, part int, old_shard int, shard int, first long",
+    placed = spark.createDataFrame(
+        parts[["block", "part", "sub", "old", "shard", "first"]].astype(dict.fromkeys(["block", "part", "sub", "old", "shard"], "int32") | {"first": "int64"}),
+        "block int, part int, sub int, old_shard int, shard int, first long",
     )
-    inside = Window.partitionBy("block", "part").orderBy("doc_id", "text_crc32")
+    inside = Window.partitionBy("block", "part", "sub").orderBy("doc_id", "text_crc32")
     return (
         rows.withColumn("n", F.row_number().over(inside))
-        .join(F.broadcast(placed), ["block", "part"])  # at most n_blocks * SPLIT rows of five numbers
+        .join(F.broadcast(placed), ["block", "part", "sub"])  # at most 2 * n_blocks * SPLIT rows of six numbers
         .select(*(["row"] if whole else []), "doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("first") + F.col("n") - 1).alias("slot"))
     )
 

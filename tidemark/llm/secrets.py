@@ -5,9 +5,10 @@ counted from labelled samples.  A long token whose log-likelihood ratio favours
 ``LEAST_ODDS`` is reported besides the pattern matches.  Everything is DataFrame expressions; only
 the two bigram tables (at most 2 * 67 * 67 counts, whatever the input) reach the driver.
 
-Defined results: null and empty texts have no spans; positions are code points, end exclusive;
-overlapping matches of different kinds are all kept, a model span inside a pattern span is not
-repeated; repeated rows are scanned each; other columns of any name pass through ``redact``.
+Defined results: null and empty texts have no spans; texts of any length are scanned whole; positions
+are code points, end exclusive; overlapping matches of different kinds are all kept, a model span
+inside a pattern span is not repeated; repeated rows are scanned each; an empty table gives an empty
+result; other columns of any name pass through ``redact``.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import free_name as _free_name
+
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/=_-"
 #: Fixed values of the pattern kinds, in the order in which ties are listed.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -37,13 +40,6 @@ VERBS = "get set make read write load store find count merge split parse format
 NOUNS = "value table column record number string buffer session window message document request response account index filter header"
 
 
-def _free_name(df: DataFrame, name: str) -> str:
-    taken = {c.lower() for c in df.columns}
-    while name in taken:
-        name += "_"
-    return name
-
-
 def _located(hits: Column, gaps: Column, kind: int, keep=None) -> Column:
     """Spans of matches, from the matches and the text pieces between them."""
     empty = F.array().cast("array<struct<start:int,end:int,kind:int,text:string>>")
@@ -111,8 +107,8 @@ def train(labelled: DataFrame) -> list[float]:
     return out
 
 
-def with_spans(docs: DataFrame, ratios: list[float]) -> DataFrame:
-    """The rows with one more column ``__spans``: array of (start, end, kind, text), by start, kind and end."""
+def with_spans(docs: DataFrame, ratios: list[float], name: str = "__spans") -> DataFrame:
+    """The rows with one more column: array of (start, end, kind, text), by start, kind and end."""
     text = F.coalesce(F.col("text"), F.lit(""))
     names = [_free_name(docs, f"__{k}") for k in KINDS]
     patterns = (ASSIGN, ACCESS, HEX, TOKEN)
@@ -138,7 +134,7 @@ def with_spans(docs: DataFrame, ratios: list[float]) -> DataFrame:
     spans = F.array_sort(
         F.transform(F.concat(base, outside), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["text"].alias("text")))
     )
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns], spans.alias("__spans"))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], spans.alias(name))
 
 
 def listed(spans: Column) -> Column:
@@ -171,6 +167,7 @@ def redact(docs: DataFrame, ratios: list[float], mark: str = "[SECRET]") -> Data
         out = F.when(new, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))).otherwise(acc["out"])
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
 
-    clean = F.aggregate(F.col("__spans"), begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
-    rows = with_spans(docs, ratios)
-    return rows.select(*[F.when(F.size("__spans") == 0, text).otherwise(clean).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    name = _free_name(docs, "__spans")
+    clean = F.aggregate(F.col(name), begin, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
+    rows = with_spans(docs, ratios, name)
+    return rows.select(*[F.when(F.size(name) == 0, text).otherwise(clean).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
