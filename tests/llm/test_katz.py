@@ -101,7 +101,7 @@ def test_pairs_seen_once_are_in_the_model(spark):
     texts = ["a b", "a c", "d b", "a b"]
     model = katz.train(frame(spark, texts))
     ids = katz._Ids()
-    held = {(r["h"], r["w"]): r["b"] for r in model.table.where(f"w <> {katz.BEGIN}").collect()}
+    held = {(r["h"], r["w"]): r["r"] for r in model.seen().collect()}
     signed = lambda w: ids[w] - (1 << 64) if ids[w] >> 63 else ids[w]
     a, b, c, d = map(signed, (b"a", b"b", b"c", b"d"))
     once = {(a, c), (d, b), (c, katz.END), (katz.BEGIN, d)}
