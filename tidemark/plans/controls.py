@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tidemark import functions as T
 from tidemark.operators import stats
 from tidemark.operators import windows as W
+from tidemark.plans import calibration as C
 from tidemark.plans.catalog import FIX, REPORT, Panel, R, col, query, r, select
+from tidemark.sources import stored
 
 # ---- audit: one row per check --------------------------------------------------------------------
 
@@ -255,6 +257,7 @@ def design(m: Panel) -> DataFrame:
     """Label and three imputed, scaled factors of the calibration models."""
     names = ["raw_f47", "raw_f48", "raw_f49"]
     d = m.market.select("security_id", "as_of_date", *names).join(m.labels.select("security_id", "as_of_date", col("excess_20").alias("y")), ["security_id", "as_of_date"]).where("y is not null")
+    d = stored(d, "design")
     g = d.agg(*[F.median(c).alias(c) for c in names]).first()
     d = d.fillna({c: float(g[c] or 0.0) for c in names})
     s = d.agg(*[x for c in names for x in (F.avg(c), F.stddev_pop(c))]).first()
@@ -352,3 +355,53 @@ def locked(status: DataFrame, audit: DataFrame) -> DataFrame:
 
 select("c20_two_key_lock", f"select s.status as pre_h1_status, case when s.status = 'CALIBRATED_PRODUCTION' and not a.strict_pit_gate_pass then 'BLOCKED_PIT_AUDIT_FAILED' else s.status end as status, strict_pit_gate_pass from (select 'CALIBRATED_PRODUCTION' as status) s, (select bool_and(passed or not blocking) as strict_pit_gate_pass from ({AUDIT_SQL}) c) a",
        lambda m: locked(m.spark.range(1).select(F.lit("CALIBRATED_PRODUCTION").alias("status")), checks(m).agg(F.bool_and(col("passed") | ~col("blocking")).alias("strict_pit_gate_pass"))))
+
+
+# ---- walk-forward as a whole ---------------------------------------------------------------------------
+#: Least numbers that fit the driver's tables: seven years, few names a date. The defaults of ``Settings`` are the full procedure's.
+SMALL = C.Settings(train_years=3, least_rows=(100, 30, 30), least_names=NAMES, least_folds=2, end_share=END_SHARE, features=("raw_f47", "raw_f48", "raw_f49", "raw_f50", "raw_f55"))
+
+
+def calibration_panel(m: Panel, s: C.Settings) -> DataFrame:
+    labels = m.labels.select("security_id", "as_of_date", *[f"excess_{h}" for h in s.horizons], F.greatest(*[f"end_{h}" for h in s.horizons]).alias("label_end"))
+    factors = m.market.select("security_id", "as_of_date", *s.features, T.source_available_at("as_of_date").alias("known_at"), T.decision_cutoff("as_of_date").alias("cutoff"))
+    return stored(factors.join(labels, ["security_id", "as_of_date"]), "calibration-panel")
+
+
+def walk_forward(m: Panel, s: C.Settings = SMALL):
+    panel = calibration_panel(m, s)
+    return panel, *C.out_of_sample(panel, stored(m.calendar, "calendar"), s, stored)
+
+
+@query("c21_fold_choices", None)
+def _(m):
+    """The model of each family that validation chose, by fold and horizon."""
+    return walk_forward(m)[2].select("test_year", "horizon", "family", "model", R("rmse", 9).alias("rmse"), R("ic", 9).alias("ic"))
+
+
+@query("c22_stack_weights_by_fold", None)
+def _(m):
+    return walk_forward(m)[3]
+
+
+@query("c23_out_of_sample", None)
+def _(m):
+    """Calibrated predictions of all test years."""
+    return walk_forward(m)[1]
+
+
+@query("c24_metrics", None)
+def _(m):
+    """Out-of-sample figures by horizon."""
+    found = C.metrics(walk_forward(m)[1], SMALL)
+    rows = [(h, k, None if v is None else float(v)) for h, x in sorted(found.items()) for k, v in x.items()]
+    return m.spark.createDataFrame(rows, "horizon int, metric string, value double")
+
+
+@query("c25_twelve_gates", None)
+def _(m):
+    """Every gate and the state they lead to."""
+    panel, oos, choice, _ = walk_forward(m)
+    pit = panel.agg(C.pit_gate(panel, SMALL)).first()[0]
+    passed = C.gates(C.metrics(oos, SMALL), pit, choice.select("test_year").distinct().count(), SMALL)
+    return m.spark.createDataFrame([(k, v, C.status(passed)) for k, v in passed.items()], "gate string, passed boolean, status string")

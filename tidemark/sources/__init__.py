@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +67,21 @@ class Lake:
         return self.spark.read.json(f"{self.root}/reports/{name}")
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Writes an intermediate table into the folder that the cluster shares (``spark.checkpoint.dir``) and reads it back.
+
+    Only a session without that setting (a local one) gets a temporary folder.
+    """
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = tempfile.mkdtemp(prefix="shared-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    path = f"{shared}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def dataset_digest(manifest: DataFrame) -> DataFrame:
     """One digest of a dataset's files, in path order (one row per file reaches the aggregate)."""
     lines = F.array_sort(F.collect_list(F.concat_ws("|", "path", F.col("length").cast("string"), "sha256")))
