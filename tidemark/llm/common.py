@@ -103,6 +103,22 @@ def _filtered(batches: Iterator[pa.RecordBatch], keeps: Callable, at: int) -> It
         yield held.pop().filter(pa.array(stay, pa.bool_()))
 
 
+#: Keys that are joined by broadcast because very many rows have them, at most.
+HEAVY = 10_000
+
+
+def spread_join(rows: DataFrame, table: DataFrame, key: str, weight: str, least: int = 1000) -> DataFrame:
+    """rows joined with a stored table of one row per key; no task gets all rows of a frequent key.
+
+    ``weight`` counts a key's rows.  Keys above one part in ``HEAVY`` of all are fewer than ``HEAVY``:
+    they are broadcast, the others joined by a shuffle.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    heavy = F.col(weight) > max(least, total // HEAVY)
+    few = rows.join(F.broadcast(table.where(heavy).select(key)), key, "left_anti").join(table.where(~heavy), key)
+    return few.unionByName(rows.join(F.broadcast(table.where(heavy)), key).select(few.columns))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, with underscores behind it as long as the table has such a column."""
     taken = {c.lower() for c in df.columns}

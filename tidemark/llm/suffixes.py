@@ -8,9 +8,10 @@ agrees is ordered by blind tries, which keep branching depths only and compare o
 insertion.  Neighbours' common prefixes turn the two orders into classes per depth; two strings of
 200 bytes are equal if both their halves, before and after the anchor, are in one class.
 
-Defined results: null and empty texts have no bytes; texts under 200 bytes lose nothing; equal texts
-of 200 bytes and more lose everything, as does a text repeated under one id; column names other than
-doc_id and text play no part.
+Defined results: null and empty texts have no bytes; texts under 200 bytes lose nothing; texts of any
+length are treated whole; equal texts of 200 bytes and more lose everything, as does a text repeated
+under one id; documents without id are treated like others; an empty table gives an empty result;
+column names other than doc_id and text play no part.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, release_shuffles, stored, utf8
+from tidemark.llm.common import chunks, lean, release_shuffles, small_batches, spread_join, stored, utf8
 
 LENGTH, GRAM = 200, 16
 #: Bytes up to which the multikey quicksort goes (eight at a time) before blind tries take over.
@@ -97,6 +98,7 @@ def _slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
 ANCHOR = pa.list_(pa.struct([("hash", pa.int64()), ("at", pa.int32()), ("first", pa.int32()), ("n", pa.int32())]))
 
 
+@lean
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for b in batches:
@@ -412,6 +414,7 @@ def _gather(key: tuple, group: pa.Table) -> pa.Table:
     return pa.table({"digest": pa.array(digests, pa.binary()), "begin": lists[0], "end": lists[1]})
 
 
+@lean
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         copies, begins, ends = (b[c].to_pylist() for c in ("copies", "begin", "end"))
@@ -438,6 +441,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def drop_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (byte runs removed) and the kept bytes of every text."""
     release_shuffles(docs.sparkSession)
+    small_batches(docs.sparkSession)
     text = F.coalesce("text", F.lit(""))
     given = docs.select("doc_id", text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("digest"))
     kind = given.schema["doc_id"].dataType.simpleString()
@@ -447,9 +451,9 @@ def drop_repeats(docs: DataFrame) -> DataFrame:
     same = (anchored["digest"] == known["digest"]) & anchored["id"].eqNullSafe(known["id"])
     once = anchored.join(known, same, "left_semi").dropDuplicates(["digest"])
     places = stored(once.select("digest", F.inline("anchors")), "places")
-    shared = places.groupBy("hash").count().where("count > 1").select("hash")
+    shared = stored(places.groupBy("hash").count().where("count > 1"), "shared")
     lists = [F.collect_list(c).alias(c) for c in ("hash", "at", "first", "n")]  # a text's own anchors
-    suspects = stored(places.join(shared, "hash").groupBy("digest").agg(*lists).join(known.select("digest", "id"), "digest"), "suspects")
+    suspects = stored(spread_join(places, shared, "hash", "count").groupBy("digest").agg(*lists).join(known.select("digest", "id"), "digest"), "suspects")
     total = suspects.agg(F.sum(F.size("hash"))).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_ANCHORS))
     asked = source.join(suspects.withColumnRenamed("id", "own"), "digest").where(F.col("id").eqNullSafe(F.col("own")))
