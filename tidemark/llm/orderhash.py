@@ -11,8 +11,9 @@ within a band around the diagonal matches m of its n and o shingles with m / (n
 labelled shingles are distinct, the best alignment is a longest increasing run of match places.
 Classes are the connected components of verified pairs; equal texts are one node throughout.
 
-Defined results: null and empty texts are equal texts; texts under five words are only ever
-duplicates of equal texts; documents without id belong to classes but name none; repeated rows share
+Defined results: null and empty texts are equal texts; texts under five words have no shingle and are
+only ever duplicates of equal texts; texts of any length are treated whole; an empty table gives an
+empty result; documents without id belong to classes but name none; repeated rows share
 a class; column names other than doc_id and text play no part.
 """
 

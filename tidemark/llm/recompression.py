@@ -11,8 +11,9 @@ compared, by the hash of all their words.
 
 Defined results: null and empty texts have no words; texts shorter than a window stay as they are;
 documents without id stay, and take nothing from others; repeated rows of one id take nothing from
-each other; exact copies are treated by their smallest id; column names other than doc_id and text
-play no part.
+each other; exact copies are treated by their smallest id; texts of any length are treated whole; an
+empty table gives an empty result; ids are whole numbers; column names other than doc_id and text play
+no part.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, release_shuffles, stored, utf8
+from tidemark.llm.common import chunks, lean, release_shuffles, small_batches, spread_join, stored, utf8
 
 WINDOW, ROUNDS = 50, 3
 SLICE_WORDS = 150_000
@@ -140,6 +141,7 @@ def _slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
         yield first, len(texts)
 
 
+@lean
 def _symbols(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """doc_id, digest and, run by run, the symbols of the windows of each text."""
     ids = _Ids()
@@ -271,6 +273,7 @@ def _gather(key: tuple, group: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(name[used]), "digest": pa.array(digests, pa.binary()), "at": lists[0], "n": lists[1]})
 
 
+@lean
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """doc_id, text, copy and at, n (runs of first words of windows to remove) to words, removed words and kept text."""
     for b in batches:
@@ -298,6 +301,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
 def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, n_words, n_removed and kept text: without the words of windows that begin in a document of smaller id."""
     release_shuffles(docs.sparkSession)
+    small_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     given = given.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
     named = given.where("doc_id is not null")
@@ -307,9 +311,10 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     copies = symbols.select("doc_id", "digest").distinct().join(least, "digest").where(F.col("doc_id") > F.col("least")).select("doc_id", "digest", F.lit(True).alias("copy"))
     firsts = symbols.join(least.withColumnRenamed("least", "doc_id"), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest", "doc_id"])
     places = stored(firsts.select("doc_id", "digest", F.inline("runs")), "places")
-    shared = places.groupBy("symbol").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).where("a < z").select("symbol")
+    shared = places.groupBy("symbol").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"), F.count("*").alias("rows"))
+    shared = stored(shared.where("a < z").select("symbol", "rows"), "shared")
     suspects = stored(
-        places.join(shared, "symbol").groupBy("doc_id", "digest").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"), F.sum("n").alias("windows")),  # a text's own
+        spread_join(places, shared, "symbol", "rows").groupBy("doc_id", "digest").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"), F.sum("n").alias("windows")),  # a text's own
         "suspects",
     )
     windows = suspects.agg(F.sum("windows")).first()[0] or 0
