@@ -10,7 +10,58 @@ from pyspark.sql import functions as F
 from tidemark.llm import bpe, decontamination, hnsw, katz, orderhash, recompression, resharding, secrets, suffixes, toxicity
 from tidemark.llm.common import crc_mod, table
 
-ORACLE_SQL: dict[str, str] = {}
+#: Strings of 200 bytes that start in two places, by their digests; runs of what they cover; the bytes between the runs.
+OP3_SQL = r"""
+with texts as (
+  select row_number() over () as line, doc_id, encode(coalesce(text, '')) as body from documents
+), starts as (
+  select line, body, unnest(range(0, octet_length(body) - 199)) as pos from texts
+), strings as materialized (
+  select line, pos, md5(body[pos + 1:pos + 200]) as digest from starts
+), gone as (
+  select line, pos from strings join (select digest from strings group by digest having count(*) > 1) using (digest)
+), steps as (
+  select line, pos, coalesce(pos > lag(pos) over (partition by line order by pos) + 200, true) as first from gone
+), numbered as (
+  select line, pos, sum(first::int) over (partition by line order by pos) as span from steps
+), spans as (
+  select line, span, min(pos) as a, max(pos) + 200 as z from numbered group by line, span
+), between_spans as (
+  select line, a, z, coalesce(lag(z) over (partition by line order by a), 0) as before from spans
+), told as (
+  select line, count(*) as n_spans, sum(z - a) as n_removed, max(z) as last,
+    string_agg(hex(body[before + 1:a]), '' order by a) as kept
+  from between_spans join texts using (line) group by line
+)
+select doc_id, (octet_length(body))::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(case when told.line is null then body else unhex(kept || hex(body[last + 1:])) end) as kept_sha256
+from texts left join told using (line)
+"""
+#: Windows of 50 words whose sequence begins in a document of smaller id, by their digests; the words that none of them covers.
+OP5_SQL = r"""
+with texts as (
+  select row_number() over () as line, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+), starts as (
+  select line, doc_id, words, unnest(range(1, len(words) - 48)) as pos from texts
+), windows as materialized (
+  select line, doc_id, pos, md5(array_to_string(words[pos:pos + 49], ' ')) as digest from starts
+), firsts as (
+  select digest, min(doc_id) as least from windows group by digest
+), gone as (
+  select line, pos from windows join firsts using (digest) where least < doc_id
+), places as (
+  select line, unnest(words) as word, unnest(range(1, len(words) + 1)) as pos from texts
+), marked as (
+  select line, pos, word, max(gone.pos is not null) over (partition by line order by pos rows between 49 preceding and current row) as covered
+  from places left join gone using (line, pos)
+), told as (
+  select line, count(*) as n_words, count_if(covered) as n_removed, string_agg(word, ' ' order by pos) filter (where not covered) as kept from marked group by line
+)
+select doc_id, coalesce(n_words, 0)::bigint as n_words, coalesce(n_removed, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from texts left join told using (line)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_deep_shallow": OP3_SQL, "op5_recompression": OP5_SQL}
 
 
 def op8_mil_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
