@@ -98,6 +98,13 @@ query("s09_calendar_flag", "select trade_date, coalesce(try_cast(case when pos %
 )
 
 
+@query("s10_month_end_snapshots", "select security_id, trade_date, close from bars where trade_date in (select max(trade_date) from bars group by date_trunc('month', trade_date))")
+def _(m):
+    from tidemark.sources.vendor import month_end_snapshots
+
+    return month_end_snapshots(m.bars.select("security_id", "trade_date", "close"), "trade_date")
+
+
 @query("s12_date_chunks", "select cast(d as date) as chunk_start, least(cast(d as date) + 44, date '1998-12-01') as chunk_end from range(date '1992-01-02', date '1998-12-02', interval 45 day) t(d)")
 def _(m):
     import datetime as dt
@@ -354,6 +361,12 @@ select("factor_f14", f"select as_of_date, {r('raw_f14')} as raw_f14 from f14", l
 select("factor_f16", f"select as_of_date, {r('raw_f16')} as raw_f16 from f16", lambda m: X.small_minus_large(m.panel, 20).select("as_of_date", R("raw_f16", 6).alias("raw_f16")))
 for _i in (24, 27, 33, 41, 47, 49, 50, 55):
     company_z(f"score_f{_i}", f"raw_f{_i}")
+FULL = [(f"raw_f{i:02}", 4 if i in (29, 37, 38, 44) else 6) for i in range(1, 56)]
+APART = {"raw_f42": "f42", "raw_f14": "f14", "raw_f16": "f16"} | {f"raw_f{i}": f"f{i}" for i in (52, 53, 54)} | dict.fromkeys(X.MACRO, "macro_asof")
+select("factor_panel", "select raw.security_id, raw.as_of_date, " + ", ".join("cast(null as double) as " + c if int(c[5:]) in X.MISSING else f"{r(APART.get(c, 'raw') + '.' + c, d)} as {c}" for c, d in FULL)
+       + " from raw " + " ".join(f"left join {t} on {t}.as_of_date = raw.as_of_date" + (f" and {t}.security_id = raw.security_id" if t[1:] in ("42", "52", "53", "54") else "") for t in dict.fromkeys(APART.values())),
+       lambda m: X.full_panel(m.panel, X.event_factors(m.market, m.supply, m.regulatory, m.schedule), X.macro_factors(m.calendar, m.macro), X.earnings_yield(m.valuation), X.small_minus_large(m.panel, 20))
+       .select("security_id", "as_of_date", *[R(c, d).alias(c) for c, d in FULL]))
 LINE = ("raw_f47", "raw_f48", "raw_f36")
 select("lineage", "select security_id, as_of_date, factor_id, source_ids, sha256(as_of_date || ' 00:00:00|' || security_id || '|' || factor_id || '|' || source_ids || '|' || as_of_date || ' 07:00:00+00:00|" + X.VERSION + "') as lineage_hash from ("
        + " union all ".join(f"select security_id, as_of_date, '{c[4:].upper()}' as factor_id, '{'OPEN_MACHINE_PROXY' if int(c[5:]) in X.MACHINE else 'MARKET'}' as source_ids from raw where {c} is not null" for c in LINE) + ") l",

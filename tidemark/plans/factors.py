@@ -115,6 +115,15 @@ def macro_factors(calendar: DataFrame, macro: DataFrame) -> DataFrame:
     return d
 
 
+def full_panel(panel: DataFrame, events: DataFrame, *by_date: DataFrame) -> DataFrame:
+    """F01 to F55 for each row of the panel; those that have no open source (``MISSING``) as null columns."""
+    d = panel.join(events, ["security_id", "as_of_date"], "left")
+    for one in by_date:
+        d = d.join(F.broadcast(one), "as_of_date", "left")  # a row per session
+    d = d.withColumns({f"raw_f{i:02}": F.lit(None).cast("double") for i in MISSING})
+    return d.select("security_id", "as_of_date", *(f"raw_f{i:02}" for i in range(1, 56)))
+
+
 def earnings_yield(valuation: DataFrame) -> DataFrame:
     """median earnings yield per date."""
     return valuation.groupBy(F.col("trade_date").alias("as_of_date")).agg(F.median(F.try_divide(F.lit(1.0), "pe_ttm")).alias("raw_f14"))
