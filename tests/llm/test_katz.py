@@ -107,3 +107,34 @@ def test_pairs_seen_once_are_in_the_model(spark):
     once = {(a, c), (d, b), (c, katz.END), (katz.BEGIN, d)}
     assert {k for k, n in held.items() if n == 1} == once
     assert {k for k, n in held.items() if n > 1} == {(katz.BEGIN, a), (a, b), (b, katz.END)}
+
+
+def test_lookups_and_orders_hold_few_arrays():
+    """A pack's tokens are looked up and sorted beside few copies of themselves."""
+    import tracemalloc
+
+    import numpy as np
+
+    h, w = np.random.default_rng(1).integers(0, 1 << 63, (2, 1_000_000), dtype=np.uint64)
+    known = np.sort(h[:50_000])
+    with np.errstate(over="ignore"):
+        for f, most in ((lambda: katz.found_in(known, h), 1.3), (lambda: katz.mixed(h, w), 2.2), (lambda: katz._by_context(h, w, w), 3.2)):
+            tracemalloc.start()
+            f()
+            peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+            assert peak < most * h.nbytes
+    at = katz.found_in(known, h)
+    assert (known[at[:50_000]] == h[:50_000]).all() and (at[50_000:] == -1).all()
+
+
+def test_stored_pairs_need_no_codec(spark):
+    """A codec would hold copies of whole buckets beside the heap."""
+    import pyarrow.parquet as pq
+
+    docs = spark.createDataFrame([(1, "a b c d e f g")], "doc_id long, text string")
+    model = katz.train(docs)
+    for f in model.pairs.inputFiles():
+        meta = pq.ParquetFile(f.removeprefix("file://")).metadata
+        assert {meta.row_group(0).column(i).compression for i in range(meta.num_columns)} == {"UNCOMPRESSED"}
+    assert model.seen().count() == 8

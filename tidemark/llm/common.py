@@ -69,6 +69,18 @@ def give_back() -> None:
         pass
 
 
+@functools.cache
+def thrifty() -> None:
+    """From now on this process maps large arrays apart, so that each goes back to the system when it is freed.
+
+    Else the C library raises its limit with each array freed, and later ones stay in its heap between small objects.
+    """
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def lean(f: Callable) -> Callable:
     """A function from batches to batches that gives its memory back when its task ends."""
 

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, give_back, lean, release_shuffles, shared_dir, small_batches, stored, utf8
+from tidemark.llm.common import chunks, give_back, lean, release_shuffles, shared_dir, small_batches, stored, thrifty, utf8
 
 BEGIN, END = 1, 2
 #: Counts up to K are discounted; every counted pair is in the model.
@@ -42,6 +42,8 @@ K, LEAST_COUNT = 5, 1
 #: Most words, and most pairs, that are treated as frequent; tokens per bucket of pairs; bytes of text per pack; words per bucket of words.
 HOT, LEAST_HOT = 65_536, 200_000
 BUCKET_TOKENS, PACK_BYTES, BUCKET_WORDS = 2_000_000, 11 << 20, 300_000
+#: Keys that are looked up at a time.
+BLOCK = 65_536
 #: Buckets of the stored table of pairs, at most.
 MOST_BUCKETS = 4096
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -82,18 +84,22 @@ def contexts(w: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def mixed(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     """One key for a pair."""
-    x = h * ODD + (w ^ (w >> np.uint64(31)))
+    x = w >> np.uint64(31)
+    x ^= w
+    x += h * ODD
     x ^= x >> np.uint64(29)
     x *= np.uint64(0xBF58476D1CE4E5B9)
     return x ^ (x >> np.uint64(32))
 
 
 def found_in(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Place of each key in a sorted array, -1 if it isn't there."""
-    if not len(sorted_keys):
-        return np.full(len(keys), -1)
-    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
-    return np.where(sorted_keys[at] == keys, at, -1)
+    """Place of each key in a sorted array, -1 if it isn't there; no more memory than the places take."""
+    out = np.full(len(keys), -1)
+    for i in range(0, len(keys), BLOCK) if len(sorted_keys) else ():
+        k = keys[i : i + BLOCK]
+        at = np.minimum(np.searchsorted(sorted_keys, k), len(sorted_keys) - 1)
+        np.copyto(out[i : i + BLOCK], at, where=sorted_keys[at] == k)
+    return out
 
 
 def bucket_of(h: np.ndarray, mix: np.ndarray, hot: np.ndarray, buckets: int) -> np.ndarray:
@@ -104,6 +110,7 @@ def bucket_of(h: np.ndarray, mix: np.ndarray, hot: np.ndarray, buckets: int) ->
 
 @lean
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    thrifty()
     ids = _Ids()
     for t in chunks(batches, PACK_BYTES):
         w, _ = tokens(utf8(t["text"]), ids)
@@ -142,12 +149,22 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _by_context(h: np.ndarray, w: np.ndarray, mix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """An order that brings equal pairs together, and (in almost all cases) the pairs of a context; first places and numbers of equal pairs."""
-    order = np.argsort((h * ODD & CONTEXT_BITS) | (mix >> np.uint64(40)))
-    h, w = h[order], w[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
+    key = h * ODD
+    key &= CONTEXT_BITS
+    key |= mix >> np.uint64(40)
+    order = np.argsort(key)
+    del key
+    new = np.zeros(len(h), bool)
+    new[:1] = True
+    for x in (h, w):  # one sorted copy at a time
+        x = x[order]
+        new[1:] |= x[1:] != x[:-1]
+        del x
     first = np.flatnonzero(new)
-    return order, first, np.diff(np.append(first, len(h)))
+    n = np.empty_like(first)
+    np.subtract(first[1:], first[:-1], out=n[:-1])
+    n[-1:] = len(h) - first[-1:]
+    return order, first, n
 
 
 def _listed(h: np.ndarray, w: np.ndarray) -> dict[str, bytes]:
@@ -160,12 +177,27 @@ def _unlisted(r: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(r["h"], np.uint64), np.frombuffer(r["n"], "<u4").astype(np.int64), np.frombuffer(r["w"], np.uint64)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    return zstandard.compress(x.astype("<u4").tobytes(), 1)
+
+
+def _unpacked(x: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(x), "<u4").astype(np.int64)
+
+
+def _of_bucket(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A row of the stored table of pairs: contexts, their numbers of words, words, counts."""
+    return np.frombuffer(row["h"], np.uint64), _unpacked(row["n"]), np.frombuffer(row["w"], np.uint64), _unpacked(row["r"])
+
+
 @lean
 def _count_pairs(batches: Iterator[pa.RecordBatch], hot: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    thrifty()
     ids = _Ids()
     with np.errstate(over="ignore"):
         for t in chunks(batches, PACK_BYTES):
             w, sizes = tokens(utf8(t["text"]), ids)
+            del t
             h = contexts(w, sizes)
             mix = mixed(h, w)
             order, first, n = _by_context(h, w, mix)
@@ -178,6 +210,7 @@ def _count_pairs(batches: Iterator[pa.RecordBatch], hot: np.ndarray, buckets: in
 
 def _sum_pairs(key: tuple, group: pa.Table) -> pa.Table:
     """The pairs of one bucket by context, with their counts, and how many have each count up to K + 1."""
+    thrifty()
     with np.errstate(over="ignore"):
         hs, ws, ns = [], [], []
         for r in _rows(group):
@@ -194,11 +227,16 @@ def _sum_pairs(key: tuple, group: pa.Table) -> pa.Table:
     new[1:] = (h[1:] != h[:-1]) | (w[1:] != w[:-1])
     first = np.flatnonzero(new)
     r, h, w = np.add.reduceat(n, first), h[first], w[first]
+    del n, new, first
     order = np.argsort(h, kind="stable")
-    r = r[order]
+    r, h, w = r[order], h[order], w[order]
+    del order
     kinds = np.bincount(np.minimum(r, K + 2), minlength=K + 2)[1 : K + 2].tolist()
+    first, n = _runs(h)
+    row = {"bucket": key[0].as_py(), "h": h[first].tobytes(), "n": _packed(n), "w": w.tobytes(), "r": _packed(r), "kinds": kinds}
+    del h, w, r, first, n
     give_back()
-    return _table([{"bucket": key[0].as_py(), "r": zstandard.compress(r.astype("<u4").tobytes(), 1), "kinds": kinds} | _listed(h[order], w[order])], PAIRS)
+    return _table([row], PAIRS)
 
 
 def _rows(group: pa.Table) -> Iterator[dict]:
@@ -277,16 +315,18 @@ class Model:
 def _rows_of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for row in b.to_pylist():
-            h, n, w = _unlisted(row)
-            r = np.frombuffer(zstandard.decompress(row["r"]), "<u4").astype(np.int64)
+            h, n, w, r = _of_bucket(row)
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(h, n).view(np.int64)), pa.array(w.view(np.int64)), pa.array(r)], names=["h", "w", "r"])
 
 
 def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
-    """Stores a table in buckets by its column bucket, so that it need not move to meet others."""
+    """Stores a table in buckets by its column bucket, so that it need not move to meet others.
+
+    Its hashes don't compress and its numbers are packed: a codec would only hold copies of whole buckets beside the heap.
+    """
     spark = df.sparkSession
     name = f"katz_pairs_{uuid.uuid4().hex}"
-    df.write.bucketBy(min(buckets, MOST_BUCKETS), "bucket").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    df.write.option("compression", "none").bucketBy(min(buckets, MOST_BUCKETS), "bucket").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
     return spark.table(name)
 
 
@@ -373,8 +413,7 @@ def _weigh(key: tuple, left: pa.Table, right: pa.Table, hot: np.ndarray, own: Wo
     pair = pa.list_(pa.struct([("h", pa.int64()), ("w", pa.int64()), ("r", pa.int64())]))
     out = []
     for row in _rows(right):
-        h, n, w = _unlisted(row)
-        r = np.frombuffer(zstandard.decompress(row["r"]), "<u4").astype(np.int64)
+        h, n, w, r = _of_bucket(row)
         ids, at = np.unique(w, return_inverse=True)
         count = np.zeros(len(ids), np.int64)
         told = sorted((x["place"], x["c"]) for x in _rows(left))
@@ -398,6 +437,7 @@ def _doc_sums(doc: np.ndarray, n: int, *values: np.ndarray) -> list[np.ndarray]:
 @lean
 def _ship(batches: Iterator[pa.RecordBatch], told, buckets: int) -> Iterator[pa.RecordBatch]:
     """Sums what the frequent contexts and pairs tell, and sends the other pairs by bucket."""
+    thrifty()
     ids, pack = _Ids(), TaskContext.get().partitionId() << 32
     (hot_h, hot_c, _, _), (top_keys, top_h, top_v), own, docs = told.value
     end = (float(own.base(np.int64(docs))), float(docs > 0))
@@ -405,6 +445,7 @@ def _ship(batches: Iterator[pa.RecordBatch], told, buckets: int) -> Iterator[pa.
         for t in chunks(batches, PACK_BYTES):
             pack += 1
             w, sizes = tokens(utf8(t["text"]), ids)
+            t = t.drop(["text"])
             n = len(sizes)
             doc = np.repeat(np.arange(n, dtype=np.uint32), sizes)
             h = contexts(w, sizes)
@@ -418,16 +459,17 @@ def _ship(batches: Iterator[pa.RecordBatch], told, buckets: int) -> Iterator[pa.
             score = _doc_sums(doc[hit], n, top_v[at[hit]] if len(top_v) else np.zeros(0))[0]
             head = np.stack([score, base + end[0], known + end[1], sizes.astype(float)])
             held = pa.BufferOutputStream()
-            with pa.ipc.new_stream(held, (keys := t.drop(["text"])).schema) as out:
-                out.write_table(keys)
+            with pa.ipc.new_stream(held, t.schema) as out:
+                out.write_table(t)
             yield _batch([{"bucket": pack % buckets, "pack": pack, "doc": head.tobytes(), "head": held.getvalue().to_pybytes()}], SENT)
+            del at, t, held, head
             if hit.any():
                 h, w, mix, doc = h[~hit], w[~hit], mix[~hit], doc[~hit]
             order, first, many = _by_context(h, w, mix)
             doc = doc[order].astype("<u2" if n <= 65_536 else "<u4")
             at = order[first]
             h, w, mix = h[at], w[at], mix[at]
-            del order, at, hit
+            del order, at, hit, score, base, known
             for b, k in _split(bucket_of(h, mix, hot_h, buckets)):
                 places = np.repeat(first[k] - np.cumsum(many[k]) + many[k], many[k]) + np.arange(many[k].sum())
                 yield _batch([{"bucket": b, "pack": pack, "m": many[k].astype("<u4").tobytes(), "doc": doc[places].tobytes(), "head": n.to_bytes(4, "little")} | _listed(h[k], w[k])], SENT)
@@ -442,14 +484,14 @@ def _told(pack: int, n: int, doc: np.ndarray, score: np.ndarray, base: np.ndarra
 
 def _meet(key: tuple, left: pa.Table, right: pa.Table, told, factors: list[float], word_buckets: int) -> pa.Table:
     """Scores the pairs of one bucket; tokens whose pair the model has not go on to the words' buckets, with the weight of their context."""
+    thrifty()
     (hot_h, _, hot_la, hot_ls), _, own, _ = told.value
     empty = np.zeros(0, np.uint64)
     ctx, keys, pair_h, pair_w, pair_v, la, ls, base = empty, empty, empty, empty, np.zeros(0), np.zeros(0), np.zeros(0), np.zeros(0)
     out: list[dict] = []
     with np.errstate(over="ignore"):
         for row in _rows(right):  # one
-            ctx, n, pair_w = _unlisted(row)
-            r = np.frombuffer(zstandard.decompress(row["r"]), "<u4").astype(np.int64)
+            ctx, n, pair_w, r = _of_bucket(row)
             la = np.concatenate([np.frombuffer(x["w"], "<f8") for x in _rows(left) if x["pack"] == -1])
             first = np.cumsum(n) - n
             d = values(r, factors)
