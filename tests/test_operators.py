@@ -177,3 +177,32 @@ def test_median_impute_brings_no_column_into_one_task(spark, monkeypatch):
     monkeypatch.setattr(F, "median", None)
     out = QUERIES["c03_median_impute"](spark, "/root/testdata/sf0.001")
     assert out.where("was_missing = 1").select("total_mv").distinct().count() == 1 and out.where("total_mv is null").count() == 0
+
+
+@pytest.mark.parametrize("n, least", [(1, 1), (5, 2), (40, 3)])
+def test_rank_shares_by_arrays_are_those_of_windows(spark, n, least, monkeypatch):
+    from tidemark.operators import ranks
+
+    monkeypatch.setattr(ranks, "CELLS", 7)
+    odd = [None, 1.0, 2.0, 2.0, math.nan, math.inf, -math.inf, None, math.nan, 0.0, -0.0, 3.0, 1.0, None, None, 2.0]
+    d = spark.createDataFrame([(k, i, v) for k in (1, 2) for i, v in enumerate(odd[k:] * k)] + [(3, 0, None)], "security_id long, trade_date int, x double")
+    want = {(r[0], r[1]): r[2] for r in d.select("security_id", "trade_date", W.rolling_rank_share(F.col("x"), n, least)).collect()}
+    assert {(r[0], r[1]): r[2] for r in ranks.rolling_rank_share(d, "security_id", "trade_date", "x", n, least).collect()} == want
+
+
+def test_wide_panel_moves_no_rows(spark, monkeypatch):
+    """Securities in several buckets give the same panel, and the rows of all factors pass no exchange."""
+    from tidemark.plans import QUERIES, catalog
+
+    sf = "/root/testdata/sf0.001"
+    whole = {tuple(r) for r in QUERIES["factor_panel"](spark, sf).collect()}
+    monkeypatch.setattr(catalog.Colocated, "ROWS", 2000)
+    d = QUERIES["factor_panel"](spark, sf)
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert " Exchange " not in plan and "Bucketed: true" in plan
+    assert {tuple(r) for r in d.collect()} == whole
+    m = catalog.Panel(spark, sf)
+    for c in ("raw_f18", "raw_f22", "raw_f23", "raw_f42"):
+        want = {(r[0], r[1]): r[2] for r in m.panel.select("security_id", "as_of_date", catalog.R(c, 6)).collect()}
+        got = {(r[0], r[1]): r[2] for r in d.select("security_id", "as_of_date", c).collect()}
+        assert got.keys() == want.keys() and all(a is None and got[k] is None or a is not None and got[k] is not None and math.isclose(a, got[k], abs_tol=2e-6) for k, a in want.items())

@@ -72,14 +72,25 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     Only a session without that setting (a local one) gets a temporary folder.
     """
-    spark = df.sparkSession
+    path = _place(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _place(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         shared = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    path = f"{shared}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{shared}/{label}-{uuid.uuid4().hex}"
+
+
+def bucketed(df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+    """Stores a table in that many buckets by a key: joins, windows and unions by it need no exchange afterwards."""
+    path = _place(df.sparkSession, label)
+    name = path.rpartition("/")[2].replace("-", "_")
+    df.repartition(buckets, key).sortWithinPartitions(key).write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def dataset_digest(manifest: DataFrame) -> DataFrame:
